@@ -101,11 +101,11 @@ def normalize_date_text(x) -> Column:
     out = None
     for pattern, fmt in DATE_FORMATS:
         if fmt == "yyyy-MM":
-            parsed = F.try_to_date(F.concat(x, F.lit("-01")), F.lit("yyyy-MM-dd"))
+            parsed = F.try_to_date(F.concat(x, F.lit("-01")), "yyyy-MM-dd")
         elif fmt == "MM/yyyy":
-            parsed = F.try_to_date(F.concat(F.lit("01/"), x), F.lit("dd/MM/yyyy"))
+            parsed = F.try_to_date(F.concat(F.lit("01/"), x), "dd/MM/yyyy")
         else:
-            parsed = F.try_to_date(x, F.lit(fmt))
+            parsed = F.try_to_date(x, fmt)
         cond = x.rlike(pattern)
         out = F.when(cond, parsed) if out is None else out.when(cond, parsed)
     return out.otherwise(F.lit(None).cast("date"))

@@ -1,3 +1,4 @@
 """Importing this module registers every query of the library."""
 
 from . import q_kpi  # noqa: F401
+from . import q_scalar  # noqa: F401
