@@ -2,3 +2,4 @@
 
 from . import q_kpi  # noqa: F401
 from . import q_scalar  # noqa: F401
+from . import q_relational  # noqa: F401
