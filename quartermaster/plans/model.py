@@ -35,13 +35,13 @@ VIETNAM_NATIONS = [17, 22]
 # Sold-to parties by (market region, c_custkey % 8) -- chosen so every party pattern of the routing
 # tree occurs, together with parties that match no leaf.
 SOLD_TO_PARTIES = {
-    "NORA": ["US DC East", "CAN DC Toronto", "US Direct ZUMIEZ", "Canada Direct", "US KOHLS Direct",
-             "International Retail", "US JOURNEYS", "Mex DC Monterrey"],
+    "NORA": ["US DC", "CAN DC Toronto", "US Direct ZUMIEZ", "Canada Direct", "US KOHLS Direct",
+             "International", "US JOURNEYS", "Mex DC Monterrey"],
     "CASA": ["Brazil DC", "Chile DC", "MX DC Guadalajara", "Mexico Direct", "International CASA",
              "Brazil Direct", "Argentina DC", "Chile Direct"],
     "APAC": ["China DC", "Korea DC", "India DC", "Malaysia DC", "SG DC", "Hong Kong DC",
-             "APAC Direct Korea", "Korea Direct"],
-    "EMEA": ["EU DC Antwerp", "EU DC Duty", "UK DC", "EMEA Direct", "EU Crossdock", "DE DC",
+             "APAC Direct", "Korea Direct"],
+    "EMEA": ["EU DC", "EU DC Duty", "UK DC", "EU Direct", "EU Crossdock", "DE DC",
              "International EMEA", "FR DC"],
 }
 BUYING_PROGRAMS = {
@@ -210,3 +210,27 @@ class Model:
         return (keys.filter((F.col("dim_factory_id") + F.col("week_date_id")) % 13 != 0)
                     .select("dim_factory_id", "week_date_id", "construction_type",
                             cap.cast("bigint").alias("capacity_available_weekly")))
+
+    # ---------------------------------------------------------------- rule helper tables
+    @cached_property
+    def fty_qt(self) -> DataFrame:
+        """Factory quick-turn helper (material -> vendor), for quick-turn materials."""
+        codes = F.array(*[F.lit(c) for c in FACTORY_CODES])
+        p = self.table("part")
+        return (p.filter(F.col("p_partkey") % 3 == 0)
+                 .select(F.concat(F.lit("VN"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("material_id"),
+                         F.element_at(codes, (F.col("p_partkey") % len(FACTORY_CODES) + 1).cast("int")).alias("factory_short_name")))
+
+    @cached_property
+    def retail_qt(self) -> DataFrame:
+        """Retail quick-turn helper (material, region, sold-to party) -> vendor: the quick-turn
+        materials ordered under the retail quick-turn program."""
+        codes = F.array(*[F.lit(c) for c in FACTORY_CODES])
+        d = self.demand.filter(F.col("buying_program") == "Retail Quick Turn").select("dim_product_id", "dim_customer_id")
+        c = self.customer.select("dim_customer_id", "region", "sold_to_party", "dim_location_id")
+        j = d.join(c, "dim_customer_id").filter(F.col("dim_product_id") % 3 == 0)
+        return (j.select(F.concat(F.lit("VN"), F.lpad(F.col("dim_product_id").cast("string"), 8, "0")).alias("material_id"),
+                         "region", "sold_to_party",
+                         F.element_at(codes, ((F.col("dim_product_id") + F.col("dim_location_id")) % len(FACTORY_CODES) + 1)
+                                      .cast("int")).alias("factory_short_name"))
+                  .distinct())

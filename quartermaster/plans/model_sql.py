@@ -104,6 +104,18 @@ FROM (SELECT DISTINCT d.dim_factory_id_original AS dim_factory_id,
 WHERE (dim_factory_id + week_date_id) % 13 <> 0""")
 
 
+cte("fty_qt", (), f"""
+SELECT 'VN' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS material_id,
+       ({_lst(FACTORY_CODES)})[CAST(p_partkey % {len(FACTORY_CODES)} AS INTEGER) + 1] AS factory_short_name
+FROM part WHERE p_partkey % 3 = 0""")
+
+cte("retail_qt", ("demand", "customer"), f"""
+SELECT DISTINCT 'VN' || lpad(CAST(d.dim_product_id AS VARCHAR), 8, '0') AS material_id, c.region, c.sold_to_party,
+       ({_lst(FACTORY_CODES)})[CAST((d.dim_product_id + c.dim_location_id) % {len(FACTORY_CODES)} AS INTEGER) + 1] AS factory_short_name
+FROM demand d JOIN customer c USING (dim_customer_id)
+WHERE d.buying_program = 'Retail Quick Turn' AND d.dim_product_id % 3 = 0""")
+
+
 def _leap(y: str) -> str:
     return f"(({y}) % 4 = 0 AND ({y}) % 100 <> 0 OR ({y}) % 400 = 0)"
 

@@ -33,7 +33,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("QM_DRIVER_MEMORY", "16g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("QM_DRIVER_MEMORY", "12g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
