@@ -103,7 +103,9 @@ CONSTRAINED_OUT = ["order_id", "line_id", "dim_product_id", "dim_customer_id", "
 
 def constrained(spark, sf_dir):
     m = Model(spark, sf_dir)
-    u = unconstrained(spark, sf_dir)
+    # the constrained pass reads the unconstrained result three times (units, fill, write-back):
+    # a reliable checkpoint in the shared checkpoint folder cuts the lineage once
+    u = unconstrained(spark, sf_dir).checkpoint()
     return allocate.allocate_constrained(u, m.factory, m.capacity, m.calendar, m.retail_qt)
 
 
