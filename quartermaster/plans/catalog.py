@@ -4,3 +4,4 @@ from . import q_kpi  # noqa: F401
 from . import q_scalar  # noqa: F401
 from . import q_relational  # noqa: F401
 from . import q_allocate  # noqa: F401
+from . import q_validate  # noqa: F401
