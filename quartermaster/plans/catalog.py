@@ -5,3 +5,4 @@ from . import q_scalar  # noqa: F401
 from . import q_relational  # noqa: F401
 from . import q_allocate  # noqa: F401
 from . import q_validate  # noqa: F401
+from . import q_reports  # noqa: F401
