@@ -6,3 +6,4 @@ from . import q_relational  # noqa: F401
 from . import q_allocate  # noqa: F401
 from . import q_validate  # noqa: F401
 from . import q_reports  # noqa: F401
+from . import q_sources  # noqa: F401
