@@ -92,3 +92,32 @@ SELECT CASE WHEN line_status = 'O' THEN 'Open' WHEN line_status = 'F' THEN 'Ship
        strftime(release_date, '%Y-%m') AS order_month, count(*) AS n_lines, CAST(sum(quantity) AS BIGINT) AS quantity,
        min(dim_date_id) AS first_date_id, max(dim_date_id) AS last_date_id
 FROM demand WHERE demand_category = 'Order' GROUP BY 1, 2""", "demand"))(r18_order_status)
+
+
+def r11_style_mix(spark, sf_dir):
+    """R11 volume per distinct style (integer division) per factory and horizon; top and bottom ten."""
+    m = Model(spark, sf_dir)
+    run = _run_date(m)
+    d = (m.demand.withColumn("horizon", kpi.horizon_of(F.col("demand_date"), F.lit(run)))
+                 .filter(F.col("horizon").isNotNull())
+                 .withColumnRenamed("dim_factory_id_original", "dim_factory_id"))
+    return kpi.style_mix(d, m.product, m.factory, n=10)
+
+
+_R11_BASE = """SELECT horizon, f.short_name AS factory_short_name, CAST(sum(quantity) AS BIGINT) AS volume,
+       count(DISTINCT style_id) AS n_styles, CAST(trunc(sum(quantity) / count(DISTINCT style_id)) AS BIGINT) AS volume_per_style
+FROM (SELECT d.*, CASE WHEN months < 0 THEN NULL WHEN months <= 2 THEN 1 WHEN months <= 5 THEN 2 ELSE 3 END AS horizon
+      FROM (SELECT *, (year(demand_date) - year(r)) * 12 + (month(demand_date) - month(r)) AS months FROM demand, run) d) h
+JOIN product USING (dim_product_id) JOIN factory f ON f.dim_factory_id = h.dim_factory_id_original
+WHERE horizon IS NOT NULL GROUP BY 1, 2"""
+
+query("r11_style_mix", sql("""
+SELECT horizon, factory_short_name, volume, n_styles, volume_per_style, rank, kind FROM (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY horizon ORDER BY volume_per_style DESC) AS INTEGER) AS rank, 'top' AS kind
+  FROM (SELECT *, row_number() OVER (PARTITION BY horizon ORDER BY volume_per_style DESC, factory_short_name) AS rn FROM agg) a WHERE rn <= 10
+  UNION ALL
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY horizon ORDER BY volume_per_style) AS INTEGER), 'bottom'
+  FROM (SELECT *, row_number() OVER (PARTITION BY horizon ORDER BY volume_per_style, factory_short_name) AS rn FROM agg) b WHERE rn <= 10) x""",
+    "demand", "product", "factory",
+    local=(("run", "SELECT CAST(date_trunc('month', max(o_orderdate)) - INTERVAL 24 MONTH AS DATE) AS r FROM orders"),
+           ("agg", _R11_BASE))))(r11_style_mix)
