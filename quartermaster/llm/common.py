@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import quartermaster
 from quartermaster.session import ensure_checkpoint_dir
 
 #: Rows of one Arrow batch: with whole texts in a row, this bounds a Python worker's memory.
@@ -20,9 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches, and a checkpoint folder (the session's, else a private one in local mode)."""
+    """Small Arrow batches, a checkpoint folder (the session's, else a private one in local mode), and this library's
+    folder on the Python workers' search path, as it is on the driver's (where executors have it there, or by
+    ``--py-files``)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     ensure_checkpoint_dir(spark)
+    home, env = str(Path(quartermaster.__file__).parent.parent), spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, home])
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quartermaster.llm import bpe, fingerprints, packing, simhash, token_counts, url_filter
+from quartermaster.llm import bpe, fingerprints, packing, simhash, token_counts, toxicity, url_filter
 from quartermaster.llm.common import prepare, table
 
 URL_RULES = tuple(url_filter.HostRule(v, t) for v, t in (
@@ -48,8 +48,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), budget=512)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores every document's restored text with a model learnt from the labels outside the held-out fold."""
+    prepare(spark)
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op3_byte_bpe, op5_url_filter, op6_simhash, op7_best_fit_packing,
-                                   op8_document_fingerprints, op9_token_counts)}
+                                   op8_document_fingerprints, op9_token_counts, op10_toxicity)}
 
 #: DuckDB twins of the queries that SQL can express.
 ORACLES = {}
