@@ -5,19 +5,37 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quartermaster.llm import bpe, fingerprints, packing, simhash, token_counts, toxicity, url_filter
+from quartermaster.llm import ann, bpe, fingerprints, html_extract, packing, quality, simhash, token_counts, toxicity, url_filter
 from quartermaster.llm.common import prepare, table
 
 URL_RULES = tuple(url_filter.HostRule(v, t) for v, t in (
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Co-trains the quality classifier outside the held-out fold and scores every document."""
+    prepare(spark)
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts every page's main text by its host's winning container paths."""
+    prepare(spark)
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes every document by the ranks of byte_bpe_50k.tiktoken."""
     prepare(spark)
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products found for every vector whose id is divisible by 20."""
+    prepare(spark)
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judges every page's URL by the host rules, then by the default patterns."""
     prepare(spark)
@@ -54,8 +72,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op5_url_filter, op6_simhash, op7_best_fit_packing,
-                                   op8_document_fingerprints, op9_token_counts, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality, op2_html_text, op3_byte_bpe, op4_nearest_neighbours, op5_url_filter, op6_simhash, op7_best_fit_packing,
+    op8_document_fingerprints, op9_token_counts, op10_toxicity)}
 
 #: DuckDB twins of the queries that SQL can express.
 ORACLES = {}

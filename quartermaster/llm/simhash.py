@@ -130,9 +130,9 @@ def roots(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def near_duplicates(df: DataFrame, words: int = 4, max_bits: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fingerprint hex, component_id, links): ``links`` counts the other fingerprints within ``max_bits``."""
-    prints = cut(fingerprints(df, words, key, text))
+def components(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, first, component_id, links) of every distinct fingerprint: its smallest id, its component's smallest id, and
+    how many other fingerprints are within ``max_bits``."""
     nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     pairs = cut(links(nodes, max_bits))
     found = roots(pairs)
@@ -140,7 +140,39 @@ def near_duplicates(df: DataFrame, words: int = 4, max_bits: int = 4, key: str =
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     ends = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).groupBy("fp").agg(F.count("*").alias("links"))
-    of_print = rooted.join(least, "root").join(ends, "fp", "left").select(
-        "fp", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
+    return rooted.join(least, "root").join(ends, "fp", "left").select(
+        "fp", "first", "root", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def near_duplicates(df: DataFrame, words: int = 4, max_bits: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, fingerprint hex, component_id, links): ``links`` counts the other fingerprints within ``max_bits``."""
+    prints = cut(fingerprints(df, words, key, text))
+    of_print = components(prints, max_bits).select("fp", "component_id", "links")
     return prints.join(of_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "links")
+
+
+def keep_one(docs: DataFrame, words: int = 4, max_bits: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, all its columns: one with the component's smallest id (without ids, any one row).
+
+    Rows are numbered, so repeated ids and rows without an id are told apart; the numbered rows are written first, as
+    the number must not change when a task runs again.
+    """
+    row, fp = "_simhash_row", "_simhash_fp"
+    path = scratch_path(docs.sparkSession, "simhash-rows")
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
+    docs_n = docs.sparkSession.read.parquet(path)
+    prints = cut(map_prints(docs_n, words, row, key, text))
+    of_print = components(prints.select("fp", "doc_id"), max_bits).select("fp", "root")
+    ordered = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")
+    chosen = prints.join(of_print, "fp").groupBy("root").agg(F.min(ordered).alias("m")).select(F.col("m.n").alias(row))
+    return docs_n.join(chosen, row, "left_semi").select(*docs.columns)
+
+
+def map_prints(docs: DataFrame, words: int, row: str, key: str, text: str) -> DataFrame:
+    """(n, doc_id, fp) of numbered rows."""
+    def run(batch):
+        return {"n": batch.column(row), "doc_id": batch.column(key), "fp": [fingerprint(shingle_hashes(t, words)) for t in texts_of(batch, text)]}
+
+    return map_batches(docs.select(row, F.col(key).cast("long").alias(key), text), run,
+                       schema_of(("n", T.LongType()), ("doc_id", T.LongType()), ("fp", T.LongType())))
