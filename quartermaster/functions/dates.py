@@ -85,36 +85,44 @@ def cw_week(label) -> Column:
     return F.right(_c(label), F.lit(2)).try_cast("int")
 
 
-# fixed values: the date text layouts recognised by the loader, with the Spark pattern each maps to.
-DATE_FORMATS = [
-    ("^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"),
-    ("^[0-9]{2}/[0-9]{2}/[0-9]{4}$", "dd/MM/yyyy"),
-    ("^[0-9]{8}$", "yyyyMMdd"),
-    ("^[0-9]{4}-[0-9]{2}$", "yyyy-MM"),
-    ("^[0-9]{2}/[0-9]{4}$", "MM/yyyy"),
+# fixed values: the date text layouts recognised by the loader, in its order, as (name, pattern, groups of year, month
+# and day; 0: the first of the month).
+DATE_LAYOUTS = [
+    ("DATE_US", r"^(0?[1-9]|1[0-2])[/-](0[1-9]|[12][0-9]|3[01]|[1-9])[/-]((?:\d\d){1,2})", (3, 1, 2)),
+    ("DATE_EU", r"^(0[1-9]|[12][0-9]|3[01]|[1-9])[./-](0?[1-9]|1[0-2])[./-]((?:\d\d){1,2})", (3, 2, 1)),
+    ("DATE_ISO", r"^(\d{4})[./-]?(0?[1-9]|1[0-2])[./-](0[1-9]|[12][0-9]|3[01]|[1-9])", (1, 2, 3)),
+    ("MONTH_DATE", r"^(0?[1-9]|1[0-2])[./-]((?:\d\d){1,2})$", (2, 1, 0)),
+    ("MONTH_DATE_ISO", r"^(\d{4})[./-]?(0?[1-9]|1[0-2])$", (1, 2, 0)),
 ]
 
 
-def normalize_date_text(x) -> Column:
-    """Month-only texts get day 01; then parse with the first matching layout (else NULL)."""
+def parse_layout(x, name: str) -> Column:
+    """The date in a text of one layout; month-only texts get day 01, two-digit years count from 2000; a text of
+    another layout, or of a day that the month lacks, gives NULL."""
     x = F.trim(_c(x))
+    pattern, (y, m, d) = next((p, g) for n, p, g in DATE_LAYOUTS if n == name)
+    part = lambda g: F.regexp_extract(x, pattern, g)
+    year = F.when(F.length(part(y)) == 2, F.concat(F.lit("20"), part(y))).otherwise(part(y))
+    day = part(d) if d else F.lit("01")
+    text = F.concat_ws("-", year, F.lpad(part(m), 2, "0"), F.lpad(day, 2, "0"))
+    return F.when(x.rlike(pattern), F.try_to_date(text, "yyyy-MM-dd"))
+
+
+def normalize_date_text(x, layouts: list[str] | None = None) -> Column:
+    """The date by the first layout that matches the text (by the given layouts, else all in order)."""
+    names = layouts or [n for n, _, _ in DATE_LAYOUTS]
+    t = F.trim(_c(x))
     out = None
-    for pattern, fmt in DATE_FORMATS:
-        if fmt == "yyyy-MM":
-            parsed = F.try_to_date(F.concat(x, F.lit("-01")), "yyyy-MM-dd")
-        elif fmt == "MM/yyyy":
-            parsed = F.try_to_date(F.concat(F.lit("01/"), x), "dd/MM/yyyy")
-        else:
-            parsed = F.try_to_date(x, fmt)
-        cond = x.rlike(pattern)
-        out = F.when(cond, parsed) if out is None else out.when(cond, parsed)
+    for n in names:
+        matches = t.rlike(next(p for k, p, _ in DATE_LAYOUTS if k == n))
+        out = F.when(matches, parse_layout(x, n)) if out is None else out.when(matches, parse_layout(x, n))
     return out.otherwise(F.lit(None).cast("date"))
 
 
 def date_format_votes(df, cols):
-    """One pass counting, per column, how many values match each layout; returns one row."""
-    aggs = []
-    for c in cols:
-        for i, (pattern, _fmt) in enumerate(DATE_FORMATS):
-            aggs.append(F.sum(F.trim(F.col(c)).rlike(pattern).cast("int")).alias(f"{c}__fmt{i}"))
-    return df.agg(*aggs)
+    """(column, layout, votes): how many non-null values of each column match each layout, in one pass."""
+    votes = df.agg(*[F.sum(F.coalesce(F.trim(F.col(c)).rlike(p), F.lit(False)).cast("int")).alias(f"{c}|{n}")
+                     for c in cols for n, p, _ in DATE_LAYOUTS])
+    pairs = [F.struct(F.lit(c).alias("column"), F.lit(n).alias("layout"), F.coalesce(F.col(f"`{c}|{n}`"), F.lit(0)).alias("votes"))
+             for c in cols for n, _, _ in DATE_LAYOUTS]
+    return votes.select(F.explode(F.array(*pairs)).alias("v")).select("v.*")

@@ -60,10 +60,9 @@ def asap_label(is_asap, date_text) -> Column:
     return F.when(_c(is_asap) == 1, "ASAP").otherwise(_c(date_text).cast("string"))
 
 
-def currency(region, sold_to_party) -> Column:
-    """Currency by market region and party (our binding: EMEA EUR, Canada CAD, others USD)."""
-    r, p = _c(region), _c(sold_to_party)
-    return F.when(r == "EMEA", "EUR").when(p.ilike("CAN%") | p.ilike("Canada%"), "CAD").otherwise("USD")
+def currency(customer_name, factory_country, customer: str, country: str) -> Column:
+    """RMB where ``customer`` buys from a final factory in ``country``, else USD."""
+    return F.when((_c(customer_name) == customer) & (_c(factory_country) == country), "RMB").otherwise("USD")
 
 
 def by_region(region, choices: dict[str, Column], default: Column) -> Column:

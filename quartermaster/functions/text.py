@@ -20,6 +20,12 @@ def remove_blanks(x) -> Column:
     return F.replace(_c(x), F.lit(" "), F.lit(""))
 
 
+def pad_key(x, width: int) -> Column:
+    """Zero-padded key text of at least ``width`` characters; longer values stay whole (LPAD would cut them)."""
+    s = _c(x).cast("string")
+    return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
+
+
 def ilike_any(x, patterns: list[str]) -> Column:
     """Case-insensitive LIKE against any of ``patterns`` (the database's collation)."""
     x = _c(x)
@@ -61,20 +67,21 @@ def product_type(category_text) -> Column:
     return F.when(c.ilike("%vault%"), "Vault").when(c.ilike("%arcad%"), "ArcAd").otherwise("Regular")
 
 
-def gender_new(gender) -> Column:
-    """First character of the gender text."""
-    return F.left(_c(gender), F.lit(1))
+def gender_new(style_name) -> Column:
+    """The first two characters of the style name; NULL counts as ''."""
+    return F.left(F.coalesce(_c(style_name), F.lit("")), F.lit(2))
 
 
-def style_id_erp(style_id) -> Column:
-    """Style id without its first two characters (the ERP's form)."""
-    return F.substring(_c(style_id), 3, 1000)
+def style_id_erp(material_id) -> Column:
+    """The first eight characters of the material id (the ERP's style id); NULL counts as ''."""
+    return F.left(F.coalesce(_c(material_id), F.lit("")), F.lit(8))
 
 
 def style_name_new(style_name) -> Column:
-    """STUFF the first character into upper case."""
-    s = _c(style_name)
-    return F.overlay(s, F.upper(F.left(s, F.lit(1))), F.lit(1), F.lit(1))
+    """The style name without its first three characters; NULL counts as '', and STUFF of a shorter text is NULL
+    only where the text is empty."""
+    s = F.coalesce(_c(style_name), F.lit(""))
+    return F.when(s != "", F.substr(s, F.lit(4)))
 
 
 def composite_key(*xs, sep: str = "-") -> Column:

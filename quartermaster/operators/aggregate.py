@@ -33,15 +33,15 @@ def having(agg_df: DataFrame, cond: Column) -> DataFrame:
 
 
 def ratio_per_distinct(df: DataFrame, by: list[str], measure: str, distinct_col: str, out: str) -> DataFrame:
-    """SUM(measure) / COUNT(DISTINCT x) with integer division."""
+    """SUM(measure) / COUNT(DISTINCT x) with integer division (of integers, by ``div``)."""
     return (df.groupBy(*by).agg(F.sum(measure).alias("_s"), F.count_distinct(distinct_col).alias("_n"))
-              .withColumn(out, (F.col("_s") / F.col("_n")).cast("bigint"))
+              .withColumn(out, F.expr("_s div _n"))
               .drop("_s", "_n"))
 
 
 def product_of_aggregates(df: DataFrame, by: list[str], qty: str, pct: str, adj: str, out: str) -> DataFrame:
     """SUM(q) * MAX(pct) * MAX(adj), truncated to an integer."""
-    return df.groupBy(*by).agg((F.sum(qty) * F.max(pct) * F.max(adj)).cast("int").alias(out))
+    return df.groupBy(*by).agg((F.sum(qty) * F.max(pct) * F.max(adj)).cast("bigint").alias(out))
 
 
 def group_total(df: DataFrame, by: list[str], col: str, out: str) -> DataFrame:

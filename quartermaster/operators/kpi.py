@@ -42,7 +42,7 @@ def demand_vs_capacity(demand: DataFrame, capacity: DataFrame, calendar: DataFra
         F.col("total_demand").cast("bigint").alias("total_demand"),
         "total_capacity",
         F.when(has_cap, F.col("total_capacity") - F.col("total_demand")).otherwise(F.lit(0)).cast("bigint").alias("discrepancy"),
-        F.when(has_cap, F.round(F.col("total_demand") / F.col("total_capacity"), 6)).otherwise(F.lit(0.0)).alias("fill_rate"),
+        F.when(has_cap, F.col("total_demand") / F.col("total_capacity")).otherwise(F.lit(0.0)).alias("fill_rate"),
     )
 
 
@@ -121,11 +121,10 @@ def best_worst_by_penalty(penalty: DataFrame, n: int = 10, horizon_col: str = "h
 
 def style_mix(fact: DataFrame, product: DataFrame, factory: DataFrame, horizon_col: str = "horizon",
               n: int = 10) -> DataFrame:
-    """Volume per distinct style (integer division) per factory and horizon; top and bottom n."""
-    j = fact.join(product.select("dim_product_id", "style_id"), "dim_product_id")
-    agg = (j.groupBy(horizon_col, "dim_factory_id")
-            .agg(F.sum("quantity").alias("volume"), F.count_distinct("style_id").alias("n_styles"))
-            .withColumn("volume_per_style", (F.col("volume") / F.col("n_styles")).cast("bigint"))
+    """Volume per distinct product (integer division) per factory and horizon; top and bottom n."""
+    agg = (fact.join(product.select("dim_product_id"), "dim_product_id").groupBy(horizon_col, "dim_factory_id")
+            .agg(F.sum("quantity").alias("volume"), F.count_distinct("dim_product_id").alias("n_styles"))
+            .withColumn("volume_per_style", F.expr("volume div n_styles"))
             .join(factory.select("dim_factory_id", F.col("short_name").alias("factory_short_name")), "dim_factory_id"))
     top = top_n_per_group(agg, [horizon_col], [F.col("volume_per_style").desc(), F.col("factory_short_name").asc()], n,
                           dense_on=[F.col("volume_per_style").desc()])

@@ -1,8 +1,7 @@
 """Joins and lookups.
 
 Broadcast policy: a ``broadcast()`` hint is only placed on tables whose size is bounded by
-construction (region, nation, the calendar, literal rule tables) or after ``bounded()`` has checked the
-row count.  Every other dimension join is left to AQE, which converts a shuffle join to a broadcast at
+construction (region, nation, the calendar, literal tables).  Every other dimension join is left to AQE, which converts a shuffle join to a broadcast at
 run time from the measured size and splits skewed partitions (a placeholder key holding a third of
 the fact) with its skew-join rule.
 """
@@ -15,13 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it really has at most ``max_rows`` rows (checked with a limited count,
-    which stops reading after max_rows + 1 rows); otherwise return it unchanged for a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str, str, str, list[str]]], how: str = "left") -> DataFrame:
     """Join ``fact`` to dimensions, each as (dim, fact_fk, dim_key, role, columns); the same
     dimension may appear in several roles, its columns prefixed by the role."""
@@ -105,10 +97,9 @@ def scalar(one_row: DataFrame) -> dict:
 
 def correlated_max(df: DataFrame, rules: DataFrame, row_key: list[str], match: Column, value: Column, out: str) -> DataFrame:
     """Per row, MAX(value) over rule rows satisfying ``match`` (which may contain inequalities on
-    the row).  ``rules`` is a small rule table and is broadcast; the per-row maximum is an aggregate
-    on the row key, joined back."""
-    r = F.broadcast(rules)
-    best = df.select(*row_key, *[c for c in df.columns if c not in row_key]).join(r, match, "inner") \
+    the row, but should hold an equality so that it is a hash or merge join).  The per-row maximum is an
+    aggregate on the row key, joined back."""
+    best = df.select(*row_key, *[c for c in df.columns if c not in row_key]).join(rules, match, "inner") \
              .groupBy(*row_key).agg(F.max(value).alias(out))
     return df.join(best, row_key, "left")
 

@@ -9,19 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _on(t: DataFrame, s: DataFrame, key: list[str]) -> Column:
-    """Null-safe composite key."""
-    return reduce(lambda a, b: a & b, [t[k].eqNullSafe(s[k]) for k in key])
-
-
 def merge3(target: DataFrame, source: DataFrame, key: list[str], update_cols: list[str]) -> DataFrame:
     """Insert source-only rows, update ``update_cols`` of matched rows (other columns survive),
     delete target-only rows.  Returns the new slice with an ``action`` column."""
-    t = target.alias("t")
-    s = source.alias("s")
-    j = t.join(s, _on(t, s, key), "full_outer")
-    t_seen = reduce(lambda a, b: a | b, [F.col(f"t.{k}").isNotNull() for k in key])
-    s_seen = reduce(lambda a, b: a | b, [F.col(f"s.{k}").isNotNull() for k in key])
+    j, t_seen, s_seen = _outer(target, source, key)
     action = F.when(t_seen & s_seen, "update").when(s_seen, "insert").otherwise("delete")
     cols = []
     for c in target.columns:
@@ -34,12 +25,21 @@ def merge3(target: DataFrame, source: DataFrame, key: list[str], update_cols: li
     return j.select(*cols, action.alias("action")).filter(F.col("action") != "delete")
 
 
+def _outer(target: DataFrame, source: DataFrame, key: list[str]) -> tuple[DataFrame, Column, Column]:
+    """Full outer join on the null-safe key; a literal marker on each side tells which side a row has."""
+    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    s = source.withColumn("_in_s", F.lit(True)).alias("s")
+    on = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in key])
+    return t.join(s, on, "full_outer"), F.coalesce(F.col("t._in_t"), F.lit(False)), F.coalesce(F.col("s._in_s"), F.lit(False))
+
+
 def upsert(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
-    """Update matches, insert others (no deletes)."""
-    t = target.alias("t")
-    s = source.alias("s")
-    j = t.join(s, key, "full_outer")
-    return j.select(*key, *[F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}")).alias(c) for c in target.columns if c not in key])
+    """Matches take every value of the source, NULLs too, on a null-safe key; others are inserted; nothing is
+    deleted.  Columns that the source lacks keep the target's value."""
+    j, _, s_seen = _outer(target, source, key)
+    return j.select(*[F.coalesce(F.col(f"t.{k}"), F.col(f"s.{k}")).alias(k) for k in key],
+                    *[(F.when(s_seen, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in source.columns else F.col(f"t.{c}")).alias(c)
+                      for c in target.columns if c not in key])
 
 
 def update_from(target: DataFrame, source: DataFrame, key: list[str], cols: list[str]) -> DataFrame:

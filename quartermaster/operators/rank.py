@@ -5,7 +5,7 @@ No operator here puts a whole table into one task:
     top-N followed by a merge of n rows per task;
   * top-N per group filters ``row_number() <= n``; Spark's WindowGroupLimit then keeps only n rows per
     group inside each map task before the shuffle, so one huge group ships at most n rows per task;
-  * a global rank over a large aggregate uses range partitioning and per-partition offsets;
+  * a global rank over a large aggregate ranks the distinct values in explicit, ordered buckets;
   * de-duplication is an aggregate (partial, map-side), never a window over a possibly hot key.
 """
 
@@ -46,24 +46,29 @@ def global_rank(df: DataFrame, metric: str, out: str = "rank", ascending: bool =
                 partitions: int | None = None) -> DataFrame:
     """RANK() (or DENSE_RANK()) OVER (ORDER BY metric) over a table of any size.
 
-    Rows are range-partitioned on the metric, so equal values share a partition and partitions are
-    ordered.  Each partition ranks locally; the offset of a partition is the number of rows (distinct
-    values for a dense rank) in the partitions before it -- a table with one row per partition.
+    Only the distinct values with their counts are ranked.  Explicit bounds (approximate quantiles, fetched once) deal
+    them into ordered buckets by plain comparison, so every branch of the plan sees the same buckets; a value's rank is
+    the rows (distinct values for a dense rank) of the buckets before, from one row per bucket, plus those before it in
+    its own bucket, plus one.  The ranks are joined back on the value; NULLs come last.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    m = F.col(metric)
-    key = m.asc_nulls_last() if ascending else m.desc_nulls_last()
-    parted = df.repartitionByRange(n, key).withColumn("_pid", F.spark_partition_id())
-    local_w = Window.partitionBy("_pid").orderBy(key)
-    local = parted.withColumn("_lr", (F.dense_rank() if dense else F.rank()).over(local_w))
-    sizes = parted.groupBy("_pid").agg((F.count_distinct(m) if dense else F.count(F.lit(1))).alias("_n"))
-    # cumulative offsets over at most n rows (one per partition)
-    offsets = sizes.withColumn("_off", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = F.broadcast(offsets.select("_pid", F.coalesce("_off", F.lit(0)).alias("_off")))
-    return (local.join(offsets, "_pid")
-                 .withColumn(out, (F.col("_lr") + F.col("_off")).cast("int"))
-                 .drop("_pid", "_lr", "_off"))
+    n = max(1, partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    m, v = F.col(metric), F.col("_v")
+    order = v.asc_nulls_last() if ascending else v.desc_nulls_last()
+    values = df.groupBy(m.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    found = df.agg(F.percentile_approx(m, [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0]
+    bounds = sorted(set(found or []), reverse=not ascending)
+    bucket = F.lit(len(bounds))  # between the bounds, in the order of the ranking
+    for i in range(len(bounds) - 1, -1, -1):
+        bucket = F.when(v <= bounds[i] if ascending else v >= bounds[i], i).otherwise(bucket)
+    values = values.withColumn("_b", F.when(v.isNull(), len(bounds) + 1).otherwise(bucket))
+    step = F.lit(1) if dense else F.col("_n")
+    totals = values.groupBy("_b").agg(F.sum(step).alias("_t"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    offsets = F.broadcast(totals.select("_b", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off")))
+    within = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (values.withColumn("_in", F.coalesce(F.sum(step).over(within), F.lit(0))).join(offsets, "_b")
+                   .select("_v", (F.col("_off") + F.col("_in") + 1).cast("bigint").alias(out)))
+    return df.join(ranks, m.eqNullSafe(ranks["_v"]), "left").drop("_v")
 
 
 def dedupe(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:

@@ -10,25 +10,23 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SYSTEM = "VANS"
-
-
 def _finding(df: DataFrame, value, source: str, category: str) -> DataFrame:
-    return df.select(F.lit(SYSTEM).alias("system"), F.lit(source).alias("source"),
+    return df.select(F.lit(source).alias("source"),
                      F.lit(category).alias("category"), value.cast("string").alias("value"))
 
 
 def missing_in(df: DataFrame, cols: list[str], dim: DataFrame, dim_cols: list[str], source: str, category: str,
                mapping: DataFrame | None = None, mapping_category: str | None = None) -> DataFrame:
     """V01 value missing in a dimension; V02 missing in the dimension *and* as a mapped child; V03
-    composite keys, reported as 'a/b'."""
-    vals = df.select(*cols).distinct().filter(F.coalesce(*[F.col(c).isNotNull() for c in cols]))
-    d = dim.select(*[F.col(dc).alias(c) for c, dc in zip(cols, dim_cols)]).distinct()
-    out = vals.join(d, cols, "left_anti")
+    composite keys, reported as 'a/b'.  A NULL that the dimension lacks is reported as ''."""
+    vals = df.select(*cols).distinct().alias("v")
+    d = dim.select(*[F.col(dc).alias(c) for c, dc in zip(cols, dim_cols)]).distinct().alias("d")
+    same = reduce(lambda a, b: a & b, [F.col(f"v.{c}").eqNullSafe(F.col(f"d.{c}")) for c in cols])
+    out = vals.join(d, same, "left_anti").alias("v")
     if mapping is not None:
-        m = mapping.filter(F.col("category") == mapping_category).select(F.col("child").alias(cols[0])).distinct()
-        out = out.join(m, cols[0], "left_anti")
-    return _finding(out, F.concat_ws("/", *[F.col(c).cast("string") for c in cols]), source, category)
+        m = mapping.filter(F.col("category") == mapping_category).select(F.col("child").alias("_child")).distinct()
+        out = out.join(m, F.col(f"v.{cols[0]}").eqNullSafe(F.col("_child")), "left_anti")
+    return _finding(out, F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]), source, category)
 
 
 def invalid_dates(df: DataFrame, col: str, source: str, category: str = "Invalid date", fmt: str = "yyyy-MM-dd") -> DataFrame:
@@ -43,6 +41,7 @@ def not_in_list(df: DataFrame, col: str, allowed: list[str], source: str, catego
     return _finding(bad, F.col(col), source, category)
 
 
-def run_suite(findings: list[DataFrame]) -> DataFrame:
-    """The union of a data-driven list of checks."""
-    return reduce(lambda a, b: a.unionByName(b), findings).distinct()
+def run_suite(findings: list[DataFrame], system: str) -> DataFrame:
+    """The union of a data-driven list of checks, under a system's name."""
+    out = reduce(lambda a, b: a.unionByName(b), findings).distinct()
+    return out.select(F.lit(system).alias("system"), *out.columns)

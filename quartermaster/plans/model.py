@@ -24,7 +24,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lookups import scalar
 from ..functions.dates import date_id, week_start
+from ..functions.text import pad_key
 
 # ---- fixed values of the binding (our own test binding, not reference data) ----------------------
 # Short names of the eight factories that the allocation rules name, given to supplier keys 0..7.
@@ -53,7 +55,7 @@ BUYING_PROGRAMS = {
 }
 DEMAND_CATEGORIES = {"O": "Forecast", "P": "Need to Buy", "F": "Order"}
 
-# Fiscal calendar parameters: covers every demand and order date of the driver's tables.
+# Fiscal calendar parameters: the least range; it is widened to whole years around the dates of the data.
 CAL_START = "1994-01-01"
 CAL_END = "2003-12-31"
 CAL_FIRST_MONTH = 1
@@ -88,7 +90,7 @@ class Model:
                .otherwise(name))
         return p.select(
             F.col("p_partkey").alias("dim_product_id"),
-            F.concat(F.lit("VN"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("material_id"),
+            F.concat(F.lit("VN"), pad_key("p_partkey", 8)).alias("material_id"),
             F.col("p_brand").alias("style_id"),
             name.alias("style_name"),
             F.col("p_type").alias("construction_type"),
@@ -155,9 +157,23 @@ class Model:
     @cached_property
     def calendar(self) -> DataFrame:
         from ..operators.calendar import fiscal_calendar
-        return fiscal_calendar(self.spark, CAL_START, CAL_END, CAL_FIRST_MONTH, CAL_EXTRA_MONTH)
+        ends = scalar(self.table("lineitem").agg(F.min("l_shipdate").cast("date").alias("a"), F.max("l_shipdate").cast("date").alias("b"))
+                      .crossJoin(self.table("orders").agg(F.min("o_orderdate").cast("date").alias("c"), F.max("o_orderdate").cast("date").alias("d"))))
+        years = [d.year for d in ends.values() if d is not None]
+        start = min([CAL_START, *(f"{y - 1:04d}-01-01" for y in years if f"{y:04d}-01-01" <= CAL_START)])
+        end = max([CAL_END, *(f"{y + 1:04d}-12-31" for y in years if f"{y:04d}-12-31" >= CAL_END)])
+        return fiscal_calendar(self.spark, start, end, CAL_FIRST_MONTH, CAL_EXTRA_MONTH)
 
     # ---------------------------------------------------------------- facts
+    @cached_property
+    def lines(self) -> DataFrame:
+        """The demand columns that ``lineitem`` alone holds: no join with orders."""
+        ship = F.col("l_shipdate").cast("date")
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_id"), F.col("l_partkey").alias("dim_product_id"),
+            F.col("l_suppkey").alias("dim_factory_id_original"), date_id(ship).alias("dim_date_id"), ship.alias("demand_date"),
+            F.col("l_quantity").cast("bigint").alias("quantity"))
+
     @cached_property
     def demand(self) -> DataFrame:
         li = self.table("lineitem")
@@ -199,7 +215,7 @@ class Model:
         A stand-in input: an integer function of the keys, with some groups left out on purpose so the
         'capacity missing' branches are exercised.
         """
-        d = self.demand.select("dim_factory_id_original", "dim_product_id", "demand_date")
+        d = self.lines.select("dim_factory_id_original", "dim_product_id", "demand_date")
         p = self.product.select("dim_product_id", "construction_type")
         keys = (d.join(p, "dim_product_id")
                  .select(F.col("dim_factory_id_original").alias("dim_factory_id"),
@@ -218,7 +234,7 @@ class Model:
         codes = F.array(*[F.lit(c) for c in FACTORY_CODES])
         p = self.table("part")
         return (p.filter(F.col("p_partkey") % 3 == 0)
-                 .select(F.concat(F.lit("VN"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("material_id"),
+                 .select(F.concat(F.lit("VN"), pad_key("p_partkey", 8)).alias("material_id"),
                          F.element_at(codes, (F.col("p_partkey") % len(FACTORY_CODES) + 1).cast("int")).alias("factory_short_name")))
 
     @cached_property
@@ -229,7 +245,7 @@ class Model:
         d = self.demand.filter(F.col("buying_program") == "Retail Quick Turn").select("dim_product_id", "dim_customer_id")
         c = self.customer.select("dim_customer_id", "region", "sold_to_party", "dim_location_id")
         j = d.join(c, "dim_customer_id").filter(F.col("dim_product_id") % 3 == 0)
-        return (j.select(F.concat(F.lit("VN"), F.lpad(F.col("dim_product_id").cast("string"), 8, "0")).alias("material_id"),
+        return (j.select(F.concat(F.lit("VN"), pad_key("dim_product_id", 8)).alias("material_id"),
                          "region", "sold_to_party",
                          F.element_at(codes, ((F.col("dim_product_id") + F.col("dim_location_id")) % len(FACTORY_CODES) + 1)
                                       .cast("int")).alias("factory_short_name"))

@@ -19,6 +19,11 @@ def week_start(e: str) -> str:
     return f"(CAST({e} AS DATE) - CAST(dayofweek({e}) AS INTEGER))"
 
 
+def pad(e: str, width: int) -> str:
+    t = f"CAST({e} AS VARCHAR)"
+    return f"CASE WHEN length({t}) < {width} THEN lpad({t}, {width}, '0') ELSE {t} END"
+
+
 def _lst(xs) -> str:
     return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
 
@@ -41,7 +46,7 @@ def cte(name: str, needs: tuple[str, ...], text: str) -> None:
 
 cte("product", (), f"""
 SELECT p_partkey AS dim_product_id,
-       'VN' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS material_id,
+       'VN' || ({pad('p_partkey', 8)}) AS material_id,
        p_brand AS style_id, p_name AS style_name, p_type AS construction_type,
        CASE WHEN p_size % 5 = 0 THEN 'Flex' ELSE 'Standard' END AS style_complexity,
        CASE WHEN starts_with(p_name, 'old') THEN 'vault ' || p_name
@@ -105,12 +110,12 @@ WHERE (dim_factory_id + week_date_id) % 13 <> 0""")
 
 
 cte("fty_qt", (), f"""
-SELECT 'VN' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS material_id,
+SELECT 'VN' || ({pad('p_partkey', 8)}) AS material_id,
        ({_lst(FACTORY_CODES)})[CAST(p_partkey % {len(FACTORY_CODES)} AS INTEGER) + 1] AS factory_short_name
 FROM part WHERE p_partkey % 3 = 0""")
 
 cte("retail_qt", ("demand", "customer"), f"""
-SELECT DISTINCT 'VN' || lpad(CAST(d.dim_product_id AS VARCHAR), 8, '0') AS material_id, c.region, c.sold_to_party,
+SELECT DISTINCT 'VN' || ({pad('d.dim_product_id', 8)}) AS material_id, c.region, c.sold_to_party,
        ({_lst(FACTORY_CODES)})[CAST((d.dim_product_id + c.dim_location_id) % {len(FACTORY_CODES)} AS INTEGER) + 1] AS factory_short_name
 FROM demand d JOIN customer c USING (dim_customer_id)
 WHERE d.buying_program = 'Retail Quick Turn' AND d.dim_product_id % 3 = 0""")
@@ -123,11 +128,16 @@ def _leap(y: str) -> str:
 def calendar_ctes(start=CAL_START, end=CAL_END, first_month=CAL_FIRST_MONTH, extra=CAL_EXTRA_MONTH) -> None:
     ok_extra = "TRUE" if (1 <= extra <= 12 and extra not in (3, 6, 9, 12)) else "FALSE"
     end_e = 13 * ((extra - 1) // 3) + 4 * ((extra - 1) % 3 + 1) if 1 <= extra <= 12 else 0
-    cte("cal_start", (), f"""
+    cte("cal_bounds", (), f"""
+SELECT CASE WHEN lo <= DATE '{start}' THEN make_date(year(lo) - 1, 1, 1) ELSE DATE '{start}' END AS lo,
+       CASE WHEN hi >= make_date(year(DATE '{end}'), 12, 31) THEN make_date(year(hi) + 1, 12, 31) ELSE DATE '{end}' END AS hi
+FROM (SELECT least((SELECT min(l_shipdate) FROM lineitem), (SELECT min(o_orderdate) FROM orders)) AS lo,
+             greatest((SELECT max(l_shipdate) FROM lineitem), (SELECT max(o_orderdate) FROM orders)) AS hi) x""")
+    cte("cal_start", ("cal_bounds",), f"""
 SELECT CASE WHEN dayofweek(a) = 0 THEN a WHEN dayofweek(a) > 4 THEN a + CAST(7 - dayofweek(a) AS INTEGER) ELSE a - CAST(dayofweek(a) AS INTEGER) END AS s0
-FROM (SELECT make_date(CASE WHEN month(DATE '{start}') >= {first_month} THEN year(DATE '{start}')
-                            ELSE year(DATE '{start}') - 1 END, {first_month}, 1) AS a) t""")
-    cte("cal_years", ("cal_start",), f"""
+FROM (SELECT make_date(CASE WHEN month(lo) >= {first_month} THEN year(lo) ELSE year(lo) - 1 END, {first_month}, 1) AS a
+      FROM cal_bounds) t""")
+    cte("cal_years", ("cal_bounds", "cal_start"), f"""
 SELECT 0 AS k, year(s0) AS fy, s0 AS ys, c0 AS c,
        CASE WHEN {ok_extra} AND c0 > 6 THEN 1 ELSE 0 END AS ex, month(s0) AS seed_month
 FROM (SELECT s0, CASE WHEN {_leap('year(s0)')} THEN 2 ELSE 1 END AS c0 FROM cal_start) z
@@ -135,7 +145,7 @@ UNION ALL
 SELECT k + 1, fy + 1, ys + CAST(7 * (52 + ex) AS INTEGER), cn, CASE WHEN {ok_extra} AND cn > 6 THEN 1 ELSE 0 END, 0
 FROM (SELECT *, (CASE WHEN c >= 7 THEN 0 ELSE c END) + (CASE WHEN {_leap('fy + 1')} THEN 2 ELSE 1 END) AS cn
       FROM cal_years) r
-WHERE ys + CAST(7 * (52 + ex) AS INTEGER) <= DATE '{end}'""")
+WHERE ys + CAST(7 * (52 + ex) AS INTEGER) <= (SELECT hi FROM cal_bounds)""")
     std = lambda w: f"(((({w}) - 1) // 13) * 3 + CASE WHEN (({w}) - 1) % 13 < 4 THEN 1 WHEN (({w}) - 1) % 13 < 8 THEN 2 ELSE 3 END)"
     cte("cal_days", ("cal_years",), f"""
 SELECT fy, seed_month, d AS full_date, w,
@@ -143,7 +153,7 @@ SELECT fy, seed_month, d AS full_date, w,
             ELSE {std('w')} END AS p
 FROM (SELECT y.*, CAST(y.ys + CAST(o.off AS INTEGER) AS DATE) AS d, CAST(o.off // 7 + 1 AS INTEGER) AS w
       FROM cal_years y CROSS JOIN range(0, 371) o(off)
-      WHERE o.off < 7 * (52 + y.ex) AND y.ys + CAST(o.off AS INTEGER) <= DATE '{end}') q""")
+      WHERE o.off < 7 * (52 + y.ex) AND y.ys + CAST(o.off AS INTEGER) <= (SELECT hi FROM cal_bounds)) q""")
     season = lambda x, sp, fa: f"CASE WHEN {x} IN {_in(sp)} THEN 'SP' WHEN {x} IN {_in(fa)} THEN 'FA' ELSE 'HO' END"
     basis = "CASE WHEN seed_month > 0 AND w = 1 THEN seed_month ELSE p END"
     months = _lst(["January", "February", "March", "April", "May", "June", "July", "August", "September",

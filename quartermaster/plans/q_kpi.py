@@ -25,14 +25,19 @@ R05_LOCAL = (CAL_MONTH,
                                CAST(total_demand AS BIGINT) AS total_demand,
                                CAST(coalesce(total_capacity, 0) AS BIGINT) AS total_capacity,
                                CAST(CASE WHEN coalesce(total_capacity, 0) > 0 THEN total_capacity - total_demand ELSE 0 END AS BIGINT) AS discrepancy,
-                               CASE WHEN coalesce(total_capacity, 0) > 0 THEN round(total_demand / total_capacity, 6) ELSE 0.0 END AS fill_rate
+                               CASE WHEN coalesce(total_capacity, 0) > 0 THEN total_demand / total_capacity ELSE 0.0 END AS fill_rate
                         FROM dem LEFT JOIN cap USING (year_month_accounting, fid)
                         JOIN factory f ON f.dim_factory_id = dem.fid"""))
 
 
-def r05(spark, sf_dir):
+def r05_rows(spark, sf_dir):
     m = Model(spark, sf_dir)
-    return kpi.demand_vs_capacity(m.demand, m.capacity, m.calendar, m.factory, factory_col="dim_factory_id_original")
+    return kpi.demand_vs_capacity(m.lines, m.capacity, m.calendar, m.factory, factory_col="dim_factory_id_original")
+
+
+def r05(spark, sf_dir):
+    """R05 demand against capacity by accounting month and factory; the rate is rounded for the comparison only."""
+    return r05_rows(spark, sf_dir).withColumn("fill_rate", F.round("fill_rate", 6))
 
 
-query("r05_demand_vs_capacity", sql("SELECT * FROM r05", "calendar", "demand", "capacity", "factory", local=R05_LOCAL))(r05)
+query("r05_demand_vs_capacity", sql("SELECT * REPLACE (round(fill_rate, 6) AS fill_rate) FROM r05", "calendar", "demand", "capacity", "factory", local=R05_LOCAL))(r05)

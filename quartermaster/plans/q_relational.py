@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates
+from ..functions import dates, text
 from ..operators import aggregate as agg
 from ..operators import lookups as lk
 from ..operators import rank, reshape
 from .model import Model
-from .model_sql import date_id, sql
+from .model_sql import date_id, pad, sql
 from .registry import query
 
 
@@ -49,8 +49,8 @@ PLACEHOLDER_CUSTOMER = -1
 def _staged_customer_text(o):
     k = o.o_orderkey % 4
     ck = F.col("o_custkey")
-    return (F.when(k == 0, F.concat(F.lit("Customer#"), F.lpad(ck.cast("string"), 9, "0")))
-             .when(k == 1, F.concat(F.lit("DC"), F.lpad(ck.cast("string"), 6, "0")))
+    return (F.when(k == 0, F.concat(F.lit("Customer#"), text.pad_key(ck, 9)))
+             .when(k == 1, F.concat(F.lit("DC"), text.pad_key(ck, 6)))
              .when(k == 2, F.concat(F.lit("OLD"), ck.cast("string")))
              .otherwise(F.concat(F.lit("UNKNOWN"), ck.cast("string"))))
 
@@ -63,12 +63,12 @@ def j_resolve_customer(spark, sf_dir):
     staged = o.select(o.o_orderkey, (o.o_orderkey % 4).alias("variant"), _staged_customer_text(o).alias("customer_text"))
     cust = m.table("customer")
     by_name = lk.dedup_lookup(cust.select(F.col("c_name").alias("name"), F.col("c_custkey").alias("id")), ["name"], "id")
-    by_dc = cust.select(F.concat(F.lit("DC"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("dc_code"),
-                        F.col("c_custkey").alias("id"))
+    by_dc = lk.dedup_lookup(cust.select(F.concat(F.lit("DC"), text.pad_key("c_custkey", 6)).alias("dc_code"),
+                                        F.col("c_custkey").alias("id")), ["dc_code"], "id")
     # mapping rule table (category, parent, child): retired codes of every tenth customer -> DC code
     mapping = cust.filter(F.col("c_custkey") % 10 == 0).select(
         F.lit("Customer Master").alias("category"),
-        F.concat(F.lit("DC"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("parent"),
+        F.concat(F.lit("DC"), text.pad_key("c_custkey", 6)).alias("parent"),
         F.concat(F.lit("OLD"), F.col("c_custkey").cast("string")).alias("child"))
     by_map = lk.mapped_dimension(by_dc.withColumnRenamed("id", "cid"), mapping, "Customer Master", "dc_code", "cid")
     r = lk.resolve(staged, [(by_name, [("customer_text", "name")], "id"),
@@ -87,12 +87,12 @@ SELECT variant, count(*) AS n_rows,
        CAST(sum(dim_customer_id) AS BIGINT) AS sum_customer_id
 FROM (SELECT o_orderkey % 4 AS variant,
              coalesce(n.id, dc.c_custkey, mp.c_custkey, {PLACEHOLDER_CUSTOMER}) AS dim_customer_id
-      FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
-                                      WHEN 1 THEN 'DC' || lpad(CAST(o_custkey AS VARCHAR), 6, '0')
+      FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Customer#' || ({pad('o_custkey', 9)})
+                                      WHEN 1 THEN 'DC' || ({pad('o_custkey', 6)})
                                       WHEN 2 THEN 'OLD' || CAST(o_custkey AS VARCHAR)
                                       ELSE 'UNKNOWN' || CAST(o_custkey AS VARCHAR) END AS t FROM orders) s
       LEFT JOIN (SELECT c_name AS name, max(c_custkey) AS id FROM customer GROUP BY c_name) n ON s.t = n.name
-      LEFT JOIN customer dc ON s.t = 'DC' || lpad(CAST(dc.c_custkey AS VARCHAR), 6, '0')
+      LEFT JOIN customer dc ON s.t = 'DC' || ({pad('dc.c_custkey', 6)})
       LEFT JOIN customer mp ON mp.c_custkey % 10 = 0 AND s.t = 'OLD' || CAST(mp.c_custkey AS VARCHAR)) r
 GROUP BY variant"""))(j_resolve_customer)
 
@@ -268,8 +268,8 @@ def a_ratio_product(spark, sf_dir):
 
 
 query("a_ratio_product", sql("""
-SELECT dim_factory_id_original, CAST(trunc(sum(quantity) / count(DISTINCT style_id)) AS BIGINT) AS volume_per_style,
-       CAST(trunc(sum(quantity) * max(pct) * max(adj)) AS INTEGER) AS adjusted_capacity
+SELECT dim_factory_id_original, CAST(sum(quantity) // count(DISTINCT style_id) AS BIGINT) AS volume_per_style,
+       CAST(trunc(sum(quantity) * max(pct) * max(adj)) AS BIGINT) AS adjusted_capacity
 FROM (SELECT d.*, p.style_id, ((dim_factory_id_original % 4) + 1) * 0.25 AS pct, 1.1 AS adj
       FROM demand d JOIN product p USING (dim_product_id)) j
 GROUP BY 1""", "demand", "product"))(a_ratio_product)
@@ -346,7 +346,7 @@ def w_rank_material(spark, sf_dir):
 
 def _rank_sql(level):
     return sql(f"""
-SELECT {level}, quantity, CAST(rank AS INTEGER) AS rank,
+SELECT {level}, quantity, CAST(rank AS BIGINT) AS rank,
        CASE WHEN rank BETWEEN 1 AND 50 THEN 'Top 50' ELSE 'Others' END AS rank_label
 FROM (SELECT {level}, CAST(sum(quantity) AS BIGINT) AS quantity, rank() OVER (ORDER BY sum(quantity) DESC) AS rank
       FROM demand JOIN product USING (dim_product_id) GROUP BY {level}) t""", "demand", "product")

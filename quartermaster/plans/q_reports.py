@@ -95,7 +95,7 @@ FROM demand WHERE demand_category = 'Order' GROUP BY 1, 2""", "demand"))(r18_ord
 
 
 def r11_style_mix(spark, sf_dir):
-    """R11 volume per distinct style (integer division) per factory and horizon; top and bottom ten."""
+    """R11 volume per distinct product (integer division) per factory and horizon; top and bottom ten."""
     m = Model(spark, sf_dir)
     run = _run_date(m)
     d = (m.demand.withColumn("horizon", kpi.horizon_of(F.col("demand_date"), F.lit(run)))
@@ -105,7 +105,7 @@ def r11_style_mix(spark, sf_dir):
 
 
 _R11_BASE = """SELECT horizon, f.short_name AS factory_short_name, CAST(sum(quantity) AS BIGINT) AS volume,
-       count(DISTINCT style_id) AS n_styles, CAST(trunc(sum(quantity) / count(DISTINCT style_id)) AS BIGINT) AS volume_per_style
+       count(DISTINCT dim_product_id) AS n_styles, CAST(sum(quantity) // count(DISTINCT dim_product_id) AS BIGINT) AS volume_per_style
 FROM (SELECT d.*, CASE WHEN months < 0 THEN NULL WHEN months <= 2 THEN 1 WHEN months <= 5 THEN 2 ELSE 3 END AS horizon
       FROM (SELECT *, (year(demand_date) - year(r)) * 12 + (month(demand_date) - month(r)) AS months FROM demand, run) d) h
 JOIN product USING (dim_product_id) JOIN factory f ON f.dim_factory_id = h.dim_factory_id_original

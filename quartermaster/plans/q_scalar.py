@@ -9,6 +9,7 @@ from .model import Model
 from .model_sql import date_id, sql
 from .registry import query
 
+RMB_CUSTOMER = "Customer#000000007"  # stands in for the one customer that pays in RMB
 QTY_BANDS = [(None, 9, "1 - 9"), (10, 29, "10 - 29"), (30, 39, "30 - 39"), (40, None, ">= 40")]
 
 
@@ -16,11 +17,12 @@ def p_demand_labels(spark, sf_dir):
     """P01 CASE, P06 band labels, P07 Y/N flags, P16 currency, P17 region-dependent column."""
     m = Model(spark, sf_dir)
     d = (m.demand.join(m.customer, "dim_customer_id")
-                 .join(m.product.select("dim_product_id", "material_id", "style_id"), "dim_product_id"))
+                 .join(m.product.select("dim_product_id", "material_id", "style_id"), "dim_product_id")
+                 .join(m.factory.select(F.col("dim_factory_id").alias("dim_factory_id_original"), "country_code"), "dim_factory_id_original"))
     labelled = d.select(
         logic.band(F.col("quantity"), QTY_BANDS).alias("quantity_band"),
         logic.yes_no("is_edited").alias("edited"),
-        logic.currency("region", "sold_to_party").alias("currency"),
+        logic.currency("customer_name", "country_code", RMB_CUSTOMER, "CN").alias("currency"),
         logic.simple_case("line_status", {"O": "Open", "F": "Shipped"}, "Other").alias("status"),
         F.left(logic.by_region("region", {"EMEA": F.col("material_id")}, F.col("style_id")), F.lit(2)).alias("code_prefix"),
         "quantity")
@@ -32,13 +34,13 @@ query("p_demand_labels", sql("""
 SELECT CASE WHEN quantity <= 9 THEN '1 - 9' WHEN quantity BETWEEN 10 AND 29 THEN '10 - 29'
             WHEN quantity BETWEEN 30 AND 39 THEN '30 - 39' WHEN quantity >= 40 THEN '>= 40' END AS quantity_band,
        CASE WHEN is_edited = 1 THEN 'Y' ELSE 'N' END AS edited,
-       CASE WHEN region = 'EMEA' THEN 'EUR' WHEN sold_to_party ILIKE 'CAN%' OR sold_to_party ILIKE 'Canada%' THEN 'CAD'
-            ELSE 'USD' END AS currency,
+       CASE WHEN customer_name = 'Customer#000000007' AND country_code = 'CN' THEN 'RMB' ELSE 'USD' END AS currency,
        CASE line_status WHEN 'O' THEN 'Open' WHEN 'F' THEN 'Shipped' ELSE 'Other' END AS status,
        left(CASE WHEN region = 'EMEA' THEN material_id ELSE style_id END, 2) AS code_prefix,
        count(*) AS n_lines, CAST(sum(quantity) AS BIGINT) AS quantity
 FROM demand JOIN customer USING (dim_customer_id) JOIN product USING (dim_product_id)
-GROUP BY ALL""", "demand", "customer", "product"))(p_demand_labels)
+JOIN factory ON dim_factory_id = dim_factory_id_original
+GROUP BY ALL""", "demand", "customer", "product", "factory"))(p_demand_labels)
 
 
 def p_text_functions(spark, sf_dir):
@@ -47,6 +49,7 @@ def p_text_functions(spark, sf_dir):
     p = Model(spark, sf_dir).product
     pid = F.col("dim_product_id")
     flag_text = F.when(pid % 3 == 0, "-").when(pid % 3 == 1, "Y")
+    odd_name = F.when(pid % 11 == 0, F.lit(None)).when(pid % 11 == 1, F.lit("")).otherwise(F.col("style_name"))
     test_material = F.when(pid % 2 == 0, F.concat("material_id", F.lit("P"))).otherwise(F.col("material_id"))
     return p.select(
         "dim_product_id",
@@ -59,9 +62,9 @@ def p_text_functions(spark, sf_dir):
         text.concat_strict("style_id", F.when(pid % 2 == 0, F.lit("x"))).alias("concat_strict"),
         text.dash_flag(flag_text).alias("flag"),
         text.product_type("cat_sub_sbu").alias("product_type"),
-        text.gender_new("construction_type").alias("gender_new"),
-        text.style_id_erp("style_id").alias("style_id_erp"),
-        text.style_name_new("style_name").alias("style_name_new"),
+        text.gender_new(odd_name).alias("gender_new"),
+        text.style_id_erp(F.when(pid % 13 != 0, F.col("material_id"))).alias("style_id_erp"),
+        text.style_name_new(odd_name).alias("style_name_new"),
         text.composite_key("material_id", "style_id", "construction_type").alias("composite_key"),
         text.material_cut(F.concat("material_id", F.lit("P01"))).alias("material_cut"),
         text.material_strip_test_suffix(test_material).alias("material_fixed"),
@@ -81,9 +84,9 @@ SELECT dim_product_id,
        CASE WHEN coalesce(CASE WHEN dim_product_id % 3 = 0 THEN '-' WHEN dim_product_id % 3 = 1 THEN 'Y' END, '-') = '-'
             THEN 0 ELSE 1 END AS flag,
        CASE WHEN cat_sub_sbu ILIKE '%vault%' THEN 'Vault' WHEN cat_sub_sbu ILIKE '%arcad%' THEN 'ArcAd' ELSE 'Regular' END AS product_type,
-       left(construction_type, 1) AS gender_new,
-       substr(style_id, 3, 1000) AS style_id_erp,
-       upper(left(style_name, 1)) || substr(style_name, 2) AS style_name_new,
+       CASE WHEN dim_product_id % 11 IN (0, 1) THEN '' ELSE left(style_name, 2) END AS gender_new,
+       CASE WHEN dim_product_id % 13 = 0 THEN '' ELSE left(material_id, 8) END AS style_id_erp,
+       CASE WHEN dim_product_id % 11 NOT IN (0, 1) THEN substr(style_name, 4) END AS style_name_new,
        concat_ws('-', material_id, style_id, construction_type) AS composite_key,
        substr(material_id || 'P01', 1, 11) AS material_cut,
        CASE WHEN right(tm, 1) = 'P' THEN left(tm, length(tm) - 1) ELSE tm END AS material_fixed,
@@ -131,8 +134,7 @@ FROM (SELECT o_orderkey AS order_id, o_orderpriority, o_totalprice,
              CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 3 END AS scale
       FROM orders) o"""))(p_numeric_text)
 
-DATE_VARIANTS = ["yyyy-MM-dd", "dd/MM/yyyy", "yyyyMMdd", "yyyy-MM", "MM/yyyy"]
-DUCK_VARIANTS = ["%Y-%m-%d", "%d/%m/%Y", "%Y%m%d", "%Y-%m", "%m/%Y"]
+DATE_VARIANTS = ["yyyy-MM-dd", "M/d/yyyy", "dd.MM.yyyy", "yyyyMM", "M-yy"]
 
 
 def p_dates(spark, sf_dir):
@@ -163,11 +165,6 @@ def p_dates(spark, sf_dir):
     )
 
 
-def _duck_variant() -> str:
-    whens = " ".join(f"WHEN o_orderkey % 5 = {i} THEN strftime(od, '{f}')" for i, f in enumerate(DUCK_VARIANTS))
-    return f"CASE {whens} END"
-
-
 query("p_dates", sql(f"""
 SELECT o_orderkey AS order_id,
        {date_id("od + 73")} AS plus_73_days,
@@ -184,14 +181,10 @@ SELECT o_orderkey AS order_id,
        CAST(year(od) AS VARCHAR) || 'CW' || lpad(CAST(CAST(ceil(dayofyear(od) / 7) AS BIGINT) AS VARCHAR), 2, '0') AS year_cw,
        CAST(CAST(ceil(dayofyear(od) / 7) AS BIGINT) % 100 AS INTEGER) AS cw_number,
        {date_id("parsed")} AS parsed_date_id
-FROM (SELECT *, CASE WHEN regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') THEN TRY_CAST(try_strptime(v, '%Y-%m-%d') AS DATE)
-                     WHEN regexp_matches(v, '^[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}$') THEN TRY_CAST(try_strptime(v, '%d/%m/%Y') AS DATE)
-                     WHEN regexp_matches(v, '^[0-9]{{8}}$') THEN TRY_CAST(try_strptime(v, '%Y%m%d') AS DATE)
-                     WHEN regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}$') THEN TRY_CAST(try_strptime(v || '-01', '%Y-%m-%d') AS DATE)
-                     WHEN regexp_matches(v, '^[0-9]{{2}}/[0-9]{{4}}$') THEN TRY_CAST(try_strptime('01/' || v, '%d/%m/%Y') AS DATE)
-                END AS parsed
-      FROM (SELECT o_orderkey, od, {_duck_variant()} AS v
-            FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS od FROM orders) a) b) c"""))(p_dates)
+FROM (SELECT o_orderkey, od, CASE WHEN o_orderkey % 5 < 3 THEN od
+                                  WHEN o_orderkey % 5 = 3 THEN CAST(date_trunc('month', od) AS DATE)
+                                  ELSE make_date(2000 + year(od) % 100, month(od), 1) END AS parsed
+      FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS od FROM orders) a) c"""))(p_dates)
 
 
 def p_frame_cleaning(spark, sf_dir):

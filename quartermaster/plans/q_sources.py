@@ -8,7 +8,7 @@ from ..operators import kpi
 from ..sources.scan import distinct_values, scan
 from .model import Model
 from .model_sql import sql
-from .q_kpi import R05_LOCAL, r05
+from .q_kpi import R05_LOCAL, r05_rows
 from .q_reports import _run_date
 from .registry import query
 
@@ -46,7 +46,7 @@ def r09_r10_loading_penalty(spark, sf_dir):
     """R09 penalty points per factory and horizon from the R05 fill rates; R10 best/worst ten."""
     m = Model(spark, sf_dir)
     run = _run_date(m)
-    fill = r05(spark, sf_dir)
+    fill = r05_rows(spark, sf_dir)
     run_id = run.year * 10000 + run.month * 100 + 1
     months = ((F.floor(F.col("year_month_date_id") / 10000) - run.year) * 12
               + (F.floor(F.col("year_month_date_id") / 100) % 100 - run.month))
