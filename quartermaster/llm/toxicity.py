@@ -216,18 +216,30 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -
     return np.log(t / (n_toxic + 1) / (c / (n_clean + 1))) - SURENESS * np.sqrt(1 / t + 1 / c)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
-    """Newton's method for a small ridge logistic regression; the last coefficient is the constant."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 100) -> np.ndarray:
+    """Damped Newton steps for a ridge logistic regression (convex, so any start ends at the same fit); the last
+    coefficient is the constant."""
     x = np.column_stack([x, np.ones(len(x))])
+    penalty = np.full(x.shape[1], ridge)
+    penalty[-1] = 1e-6
+
+    def loss(w):
+        z = x @ w
+        return np.logaddexp(0.0, z).sum() - y @ z + 0.5 * penalty @ (w * w)
+
     w = np.zeros(x.shape[1])
+    now = loss(w)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        penalty = np.full(len(w), ridge)
-        penalty[-1] = 1e-6
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         grad = x.T @ (p - y) + penalty * w
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9), grad)
-        w -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        size, gain = 1.0, grad @ step
+        while (new := loss(w - size * step)) > now - 1e-4 * size * gain and size > 1e-8:
+            size /= 2
+        if new >= now:
+            break
+        w, done, now = w - size * step, now - new < 1e-9 * (1 + abs(now)), new
+        if done:
             break
     return w
 
