@@ -78,9 +78,9 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def drop_all_null(df: DataFrame) -> DataFrame:
-    """Drop the columns that hold no value at all."""
-    counts = null_counts(df).first().asDict()
-    return df.select(*[c for c in df.columns if counts[c] > 0])
+    """Drop the columns that hold no value at all (one row of counts is fetched)."""
+    row = null_counts(df).first()
+    return df.select(*[c for c, n in zip(df.columns, row) if n > 0])
 
 
 def reorder(df: DataFrame, first: list[str]) -> DataFrame:
@@ -106,7 +106,9 @@ def remove_header_rows(df: DataFrame, names: list[str] | None = None) -> DataFra
 
 
 def longest_pattern(paths: DataFrame, patterns: DataFrame, path_col: str = "path", pattern_col: str = "pattern") -> DataFrame:
-    """For each path, the longest pattern it contains (case-insensitive).  ``patterns`` is a
-    small configuration table, so it is broadcast."""
-    j = paths.join(F.broadcast(patterns), F.lower(F.col(path_col)).contains(F.lower(F.col(pattern_col))), "left")
-    return j.groupBy(path_col).agg(F.max_by(F.col(pattern_col), F.length(F.col(pattern_col))).alias("matched_pattern"))
+    """For each path, the longest of the words of ``patterns`` that the path holds as a whole word (case-insensitive;
+    ties: the greatest).  Paths are cut into words, so it is an equi-join, not a test of every pair."""
+    words = paths.select(path_col, F.explode_outer(F.array_distinct(F.split(F.lower(path_col), "[^a-z0-9]+"))).alias("_w"))
+    pats = patterns.select(F.lower(pattern_col).alias("_w"), F.col(pattern_col).alias("_p")).distinct()
+    j = words.join(pats, "_w", "left")
+    return j.groupBy(path_col).agg(F.max(F.struct(F.length("_p").alias("n"), F.col("_p"))).getField("_p").alias("matched_pattern"))

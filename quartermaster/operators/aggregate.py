@@ -22,11 +22,6 @@ def aggregate(df: DataFrame, by: list, spec: dict[str, list[str]], rename: dict[
     return df.groupBy(*by).agg(*aggs)
 
 
-def collapse_any(df: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
-    """One row per key, every attribute collapsed with MAX ('any value')."""
-    return df.groupBy(*by).agg(*[F.max(c).alias(c) for c in cols])
-
-
 def having(agg_df: DataFrame, cond: Column) -> DataFrame:
     """Filter after the aggregate (Catalyst pushes key-only conditions below it)."""
     return agg_df.filter(cond)

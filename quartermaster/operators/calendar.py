@@ -149,9 +149,3 @@ def minus_periods(year_month: Column, n: int) -> Column:
 def period_start(calendar: DataFrame, period_col: str, out: str = "period_start_id") -> DataFrame:
     """First day id of every period (MIN(id) GROUP BY period) -- one row per period."""
     return calendar.groupBy(period_col).agg(F.min("id").alias(out))
-
-
-def same_week_day(calendar: DataFrame, out_prefix: str = "target") -> DataFrame:
-    """J10 helper: (year_cw, day name) -> date id; join to it on the week and the wanted weekday."""
-    return calendar.select(F.col("year_cw_accounting"), F.col("day_name_of_week").alias(f"{out_prefix}_day_name"),
-                           F.col("id").alias(f"{out_prefix}_date_id"))

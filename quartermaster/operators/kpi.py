@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .aggregate import snapshot_range
 from .rank import top_n, top_n_per_group
 
 
@@ -65,28 +66,28 @@ def horizon_name(h: Column) -> Column:
 
 
 def alternative_volumes(fact: DataFrame, factory: DataFrame, n: int = 10) -> DataFrame:
-    """Factories losing (outgoing) and gaining (incoming) the most volume where the allocated
-    factory differs from the original one; top ``n`` of each, ties broken by name."""
-    moved = fact.filter(F.col("dim_factory_id") != F.col("dim_factory_id_original"))
-    names = factory.select("dim_factory_id", "short_name")
-    out = (moved.groupBy(F.col("dim_factory_id_original").alias("dim_factory_id")).agg(F.sum("quantity").alias("volume"))
-                .join(names, "dim_factory_id"))
-    inc = (moved.groupBy("dim_factory_id").agg(F.sum("quantity").alias("volume")).join(names, "dim_factory_id"))
-    a = top_n(out, [F.col("volume").desc(), F.col("short_name").asc()], n).withColumn("direction", F.lit("outgoing"))
-    b = top_n(inc, [F.col("volume").desc(), F.col("short_name").asc()], n).withColumn("direction", F.lit("incoming"))
-    return a.unionByName(b).select("direction", F.col("short_name").alias("factory_short_name"),
-                                   F.col("volume").cast("bigint").alias("volume"))
-
-
-def capacity_change(capacity_a: DataFrame, capacity_b: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
-    """Per key, the range (MAX - MIN) of total capacity over two snapshots; top ``n``."""
-    a = capacity_a.groupBy(*keys).agg(F.sum("capacity_available_weekly").alias("cap")).withColumn("snap", F.lit(1))
-    b = capacity_b.groupBy(*keys).agg(F.sum("capacity_available_weekly").alias("cap")).withColumn("snap", F.lit(2))
-    both = a.unionByName(b)
-    rng = both.groupBy(*keys).agg((F.max("cap") - F.min("cap")).cast("bigint").alias("capacity_change"),
-                                  F.avg("cap").alias("avg_capacity"))
-    return top_n(rng, [F.col("capacity_change").desc()] + [F.col(k).asc() for k in keys], n).withColumn(
-        "avg_capacity", F.round("avg_capacity", 4))
+    """Over the demand that an alternative factory takes (``dim_factory_id`` differs from ``dim_factory_alternative_id``),
+    the ``n`` factories that give away the most ('Going-Out') and that receive the most ('Coming-In'), ties by name."""
+    moved = fact.filter(F.col("dim_factory_id") != F.col("dim_factory_alternative_id"))
+    names = factory.select(F.col("dim_factory_id").alias("_id"), F.col("short_name").alias("factory_short_name"))
+    out = None
+    for col, kind in (("dim_factory_id", "Going-Out"), ("dim_factory_alternative_id", "Coming-In")):
+        per = moved.groupBy(F.col(col).alias("_id")).agg(F.sum("quantity").alias("_q")).join(names, "_id")
+        per = per.groupBy("factory_short_name").agg(F.sum("_q").cast("bigint").alias("quantity")).withColumn("report_type", F.lit(kind))
+        top = top_n_per_group(top_n(per, [F.col("quantity").desc(), F.col("factory_short_name")], n), ["report_type"],
+                              [F.col("quantity").desc(), F.col("factory_short_name")], n, "ranking", dense_on=[F.col("quantity").desc()])
+        out = top if out is None else out.unionByName(top)
+    return out
+
+
+def capacity_change(capacity: DataFrame, release_col: str, month_col: str, factory_col: str, n: int = 5) -> DataFrame:
+    """Per month and factory, MAX - MIN of the releases' total capacity; per factory its average and maximum, the
+    ``n`` largest averages, ties by name.  ``capacity`` holds the two latest releases."""
+    per = snapshot_range(capacity, [month_col, factory_col], release_col, "capacity_available_weekly")
+    agg = per.groupBy(factory_col).agg(F.avg("range").alias("average_discrepancy"), F.max("range").alias("max_discrepancy"))
+    top = top_n(agg, [F.col("average_discrepancy").desc(), F.col(factory_col).asc()], n).withColumn("report_type", F.lit("TOP"))
+    return top_n_per_group(top, ["report_type"], [F.col("average_discrepancy").desc(), F.col(factory_col)], n, "ranking",
+                           dense_on=[F.col("average_discrepancy").desc()])
 
 
 # fixed values: loading-penalty bands on the monthly fill rate in percent -- (over-load at or above,

@@ -75,11 +75,6 @@ def semi(df: DataFrame, other: DataFrame, on) -> DataFrame:
     return df.join(other, on, "left_semi")
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    """Composite key match where NULL equals NULL."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def band_join(df: DataFrame, bands: DataFrame, value_col: str, lo: str = "start_date_id", hi: str = "end_date_id",
               how: str = "inner") -> DataFrame:
     """Membership of a value in [lo, hi] bands.  ``bands`` must be a small table of fixed size

@@ -82,11 +82,6 @@ def dedupe(df: DataFrame, keys: list[str], order: list[str] | None = None) -> Da
               .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]))
 
 
-def sort(df: DataFrame, spec: dict[str, str]) -> DataFrame:
-    """Sort by a dict of column -> 'asc' / 'desc'."""
-    return df.orderBy(*[F.col(c).desc() if d.lower().startswith("d") else F.col(c).asc() for c, d in spec.items()])
-
-
 def latest(df: DataFrame, id_col: str, n: int = 1) -> DataFrame:
     """The ``n`` highest ids (n=2 gives the latest and the previous release)."""
     return df.select(id_col).distinct().orderBy(F.col(id_col).desc()).limit(n)

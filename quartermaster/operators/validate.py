@@ -41,6 +41,12 @@ def not_in_list(df: DataFrame, col: str, allowed: list[str], source: str, catego
     return _finding(bad, F.col(col), source, category)
 
 
+def override_without_comment(df: DataFrame, changed, comment_col: str, value_col: str, source: str) -> DataFrame:
+    """Rows whose factory was changed while the comment is empty."""
+    empty = F.coalesce(F.trim(F.col(comment_col)), F.lit("")) == ""
+    return _finding(df.filter(changed & empty).select(value_col).distinct(), F.col(value_col), source, "Override without comment")
+
+
 def run_suite(findings: list[DataFrame], system: str) -> DataFrame:
     """The union of a data-driven list of checks, under a system's name."""
     out = reduce(lambda a, b: a.unionByName(b), findings).distinct()
