@@ -144,7 +144,8 @@ def allocate_constrained(allocated: DataFrame, factory: DataFrame, capacity: Dat
     cand = base.filter(in_scope)
     # X20 demand units (partial aggregation: a hot key is combined map-side)
     units = cand.groupBy(*UNIT_KEYS).agg(F.sum("quantity").alias("quantity"), *[F.max(a).alias(a) for a in UNIT_ATTRS])
-    groups = factory.select(F.col("dim_factory_id").alias("_fid"), "allocation_group", F.col("short_name").alias("_fname"))
+    groups = factory.select(F.col("dim_factory_id").alias("_fid"), "allocation_group", F.col("short_name").alias("_fname"),
+                            F.col("factory_region").alias("_fregion"))
     # X22 fill per allocation group, week and construction type (from the unconstrained factory)
     fill = (cand.join(groups, cand.dim_factory_id_original_unconstrained == groups._fid)
                 .groupBy("allocation_group", "year_cw_accounting", "construction_type")
@@ -156,7 +157,7 @@ def allocate_constrained(allocated: DataFrame, factory: DataFrame, capacity: Dat
 
     def with_load(df: DataFrame, fid_col: str, prefix: str) -> DataFrame:
         g = groups.select(F.col("_fid").alias(f"{prefix}_fid"), F.col("allocation_group").alias(f"{prefix}_group"),
-                          F.col("_fname").alias(f"{prefix}_name"))
+                          F.col("_fname").alias(f"{prefix}_name"), F.col("_fregion").alias(f"{prefix}_region"))
         fl = fill.select(F.col("allocation_group").alias(f"{prefix}_group"), "year_cw_accounting", "construction_type",
                          F.col("fill").alias(f"{prefix}_fill"))
         cp = cap.select(F.col("dim_factory_id").alias(fid_col), "year_cw_accounting", "construction_type",
@@ -165,7 +166,7 @@ def allocate_constrained(allocated: DataFrame, factory: DataFrame, capacity: Dat
                   .join(fl, [f"{prefix}_group", "year_cw_accounting", "construction_type"], "left")
                   .join(cp, [fid_col, "year_cw_accounting", "construction_type"], "left"))
 
-    u = with_load(units, "dim_factory_id_original_unconstrained", "u").withColumn("fname", F.col("u_name"))
+    u = with_load(units, "dim_factory_id_original_unconstrained", "u").withColumn("fname", F.col("u_name")).withColumn("f_region", F.col("u_region"))
     status = _fill_status(F.col("u_name"), F.col("year_cw_accounting"), F.col("construction_type"), F.col("u_fill"), F.col("u_cap"))
     overload = F.coalesce(F.col("u_fill") > F.col("u_cap"), F.lit(False))
     tfid, tlog = rules.constrained_target()

@@ -331,14 +331,15 @@ def _inlist(xs: list[str]) -> str:
 
 
 def _rqt_branch() -> tuple[str, str]:
-    """X31 retail quick-turn branch: (factory id, log) for a material of the retail quick-turn helper."""
-    fid = ("CASE WHEN region = 'EMEA' THEN CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN id_dtc ELSE rqt_vendor_id END "
-           "WHEN region IN ('NORA', 'CASA') THEN CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN id_sjv ELSE rqt_vendor_id END "
-           "WHEN region = 'APAC' THEN CASE WHEN party ILIKE 'China%' THEN id_hsc ELSE rqt_vendor_id END END")
+    """X31 retail quick-turn branch: (factory id, log) for a material of the retail quick-turn helper, by the region of the
+    overloaded factory (``f_region``)."""
+    fid = ("CASE WHEN f_region = 'EMEA' THEN CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN id_dtc ELSE rqt_vendor_id END "
+           "WHEN f_region IN ('NORA', 'CASA') THEN CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN id_sjv ELSE rqt_vendor_id END "
+           "WHEN f_region = 'APAC' THEN CASE WHEN party ILIKE 'China%' THEN id_hsc ELSE rqt_vendor_id END END")
     log = (f"{SEP} || 'RQT MTL' || CASE "
-           f"WHEN region = 'EMEA' THEN {SEP} || CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN 'DTC' ELSE rqt_vendor END "
-           f"WHEN region IN ('NORA', 'CASA') THEN {SEP} || CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN 'SJV' ELSE rqt_vendor END "
-           f"WHEN region = 'APAC' THEN {SEP} || CASE WHEN party ILIKE 'China%' THEN 'HSC' ELSE rqt_vendor END "
+           f"WHEN f_region = 'EMEA' THEN {SEP} || CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN 'DTC' ELSE rqt_vendor END "
+           f"WHEN f_region IN ('NORA', 'CASA') THEN {SEP} || CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN 'SJV' ELSE rqt_vendor END "
+           f"WHEN f_region = 'APAC' THEN {SEP} || CASE WHEN party ILIKE 'China%' THEN 'HSC' ELSE rqt_vendor END "
            f"ELSE '' END")
     return fid, log
 

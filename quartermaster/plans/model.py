@@ -104,9 +104,17 @@ class Model:
             F.col("p_retailprice").alias("fob"),
         )
 
+    @staticmethod
+    def _market(region: Column, nation: Column) -> Column:
+        """Market region of a region name and a nation key."""
+        return (F.when(region == "AMERICA", F.when(nation % 2 == 0, "NORA").otherwise("CASA"))
+                .when(region.isin("EUROPE", "MIDDLE EAST"), "EMEA").when(region == "ASIA", "APAC").otherwise("CASA"))
+
     @cached_property
     def factory(self) -> DataFrame:
-        s = self.table("supplier")
+        n = self.table("nation").join(F.broadcast(self.table("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+        n = n.select("n_nationkey", self._market(F.col("r_name"), F.col("n_nationkey")).alias("factory_region"))  # 25 rows
+        s = self.table("supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"), "left")
         key = F.col("s_suppkey")
         short = F.when(key < len(FACTORY_CODES),
                        F.element_at(F.array(*[F.lit(c) for c in FACTORY_CODES]), (key + 1).cast("int"))
@@ -121,6 +129,7 @@ class Model:
             nk.alias("allocation_group"),
             F.concat(F.lit("VG"), (key % 5).cast("string")).alias("vendor_group"),
             F.when(F.col("s_acctbal") < 0, "INACTIVE").otherwise("ACTIVE").alias("status"),
+            "factory_region",
         )
 
     @cached_property
@@ -128,11 +137,7 @@ class Model:
         c = self.table("customer")
         n = self.table("nation")
         r = self.table("region")
-        region = (F.when(F.col("r_name") == "AMERICA",
-                         F.when(F.col("c_nationkey") % 2 == 0, "NORA").otherwise("CASA"))
-                  .when(F.col("r_name").isin("EUROPE", "MIDDLE EAST"), "EMEA")
-                  .when(F.col("r_name") == "ASIA", "APAC")
-                  .otherwise("CASA"))
+        region = self._market(F.col("r_name"), F.col("c_nationkey"))
         slot = (F.col("c_custkey") % 8).cast("int")
         party = None
         for reg, names in SOLD_TO_PARTIES.items():

@@ -65,8 +65,10 @@ SELECT s_suppkey AS dim_factory_id,
             ELSE 'N' || CAST(s_nationkey AS VARCHAR) END AS country_code,
        s_nationkey AS allocation_group,
        'VG' || CAST(s_suppkey % 5 AS VARCHAR) AS vendor_group,
-       CASE WHEN s_acctbal < 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
-FROM supplier""")
+       CASE WHEN s_acctbal < 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status,
+       CASE WHEN r_name = 'AMERICA' THEN CASE WHEN s_nationkey % 2 = 0 THEN 'NORA' ELSE 'CASA' END
+            WHEN r_name IN ('EUROPE', 'MIDDLE EAST') THEN 'EMEA' WHEN r_name = 'ASIA' THEN 'APAC' ELSE 'CASA' END AS factory_region
+FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
 
 _party = " ".join(f"WHEN '{reg}' THEN ({_lst(names)})[CAST(c_custkey % 8 AS INTEGER) + 1]"
                   for reg, names in SOLD_TO_PARTIES.items())

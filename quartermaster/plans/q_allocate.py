@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import allocate, rules
+from ..session import ensure_checkpoint_dir
 from .model import Model
 from .model_sql import sql
 from .registry import query
@@ -105,7 +106,10 @@ def constrained(spark, sf_dir):
     m = Model(spark, sf_dir)
     # the constrained pass reads the unconstrained result three times (units, fill, write-back):
     # a reliable checkpoint in the shared checkpoint folder cuts the lineage once
-    u = unconstrained(spark, sf_dir).checkpoint()
+    u = unconstrained(spark, sf_dir).select(*OUT_COLS, "material_id", "style_complexity", "construction_type", "program", "release_date",
+                                            "rqt_vendor", "rqt_vendor_id", *[a for a in allocate.UNIT_ATTRS if a not in ("in_rqt", "rqt_vendor", "rqt_vendor_id")])
+    ensure_checkpoint_dir(spark)
+    u = u.checkpoint()
     return allocate.allocate_constrained(u, m.factory, m.capacity, m.calendar, m.retail_qt)
 
 
@@ -145,7 +149,7 @@ LEFT JOIN factory fr2 ON fr2.short_name = r.rqt_vendor_m"""),
         ("cap", """SELECT k.dim_factory_id, cal.year_cw_accounting, k.construction_type, sum(k.capacity_available_weekly) AS cap
                    FROM capacity k JOIN calendar cal ON k.week_date_id = cal.id GROUP BY 1, 2, 3"""),
         ("u1", f"""
-SELECT u.*, f.short_name AS fname, fl.fill AS u_fill, cp.cap AS u_cap
+SELECT u.*, f.short_name AS fname, f.factory_region AS f_region, fl.fill AS u_fill, cp.cap AS u_cap
 FROM units u
 LEFT JOIN factory f ON u.dim_factory_id_original_unconstrained = f.dim_factory_id
 LEFT JOIN fill fl ON fl.allocation_group = f.allocation_group AND fl.year_cw_accounting = u.year_cw_accounting

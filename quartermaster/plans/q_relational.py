@@ -104,8 +104,8 @@ def j_anti_semi(spark, sf_dir):
     d = m.demand
     products = m.product.select("dim_product_id")
     rows = [
-        ("products_without_demand", lk.anti(products, d.select("dim_product_id"), "dim_product_id")),
-        ("customers_with_demand", lk.semi(m.customer.select("dim_customer_id"), d.select("dim_customer_id"), "dim_customer_id")),
+        ("products_without_demand", lk.anti(products, m.lines.select("dim_product_id").distinct(), "dim_product_id")),
+        ("customers_with_demand", lk.semi(m.customer.select("dim_customer_id"), d.select("dim_customer_id").distinct(), "dim_customer_id")),
         ("factories_never_first_priority", lk.anti(m.factory.select("dim_factory_id"),
                                                    m.priority.select(F.col("dim_factory_id_1").alias("dim_factory_id")),
                                                    "dim_factory_id")),
