@@ -76,5 +76,24 @@ QUERIES = {f.__name__: f for f in (
     op1_quality, op2_html_text, op3_byte_bpe, op4_nearest_neighbours, op5_url_filter, op6_simhash, op7_best_fit_packing,
     op8_document_fingerprints, op9_token_counts, op10_toxicity)}
 
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_PATTERN_ROWS = ", ".join(f"({i}, '{p.verdict}', '{p.pattern}', {list(p.literals)})" for i, p in enumerate(url_filter.PATTERNS))
+
 #: DuckDB twins of the queries that SQL can express.
-ORACLES = {}
+ORACLES = {"op5_url_filter": f"""
+WITH u AS (
+  SELECT page_id, row_number() OVER () AS n, url, translate(CASE WHEN contains(url, '://') THEN url ELSE '' END, {_FOLD}) AS low,
+         translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1), {_FOLD}) AS host,
+         regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+r(verdict, rule, rhost, rpath) AS (VALUES ('allow', 'com/', 'com', '/'), ('block', 'example.com/en/', 'example.com', '/en/'),
+  ('allow', 'www.example.com/en/', 'www.example.com', '/en/'), ('block', 'net/es/', 'net', '/es/'), ('block', 'net/fr/', 'net', '/fr/')),
+best AS (
+  SELECT n, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM u JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY n),
+p(i, verdict, pattern, literals) AS (VALUES {_PATTERN_ROWS}),
+hit AS (
+  SELECT n, arg_min(pattern, i) AS pattern, arg_min(verdict, i) AS verdict
+  FROM u JOIN p ON list_has_all(string_split_regex(low, '[^a-z0-9]+'), literals) AND regexp_matches(low, pattern)
+  WHERE n NOT IN (SELECT n FROM best) GROUP BY n)
+SELECT page_id, host, path, best.rule, coalesce(best.verdict, hit.verdict, 'allow') AS verdict, hit.pattern
+FROM u LEFT JOIN best USING (n) LEFT JOIN hit USING (n)"""}
