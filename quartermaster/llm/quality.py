@@ -37,6 +37,7 @@ SURE = 0.98
 BINS = 12
 RIDGE = 1.0
 THRESHOLD = 0.5
+MOST = 8.0
 CALIBRATION_PARTS = 3
 
 UPPER, LOWER, DIGIT, BLANK, MARK, ODD, HIGH = range(7)
@@ -117,6 +118,25 @@ def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
+def held(logits: np.ndarray) -> np.ndarray:
+    """Logits between -MOST and MOST: where a view separates the classes, its size says nothing more."""
+    return np.clip(logits, -MOST, MOST)
+
+
+def combine(a: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of the two views' logits and a constant; a view that would count against itself has no weight."""
+    x = np.column_stack([held(a), held(b)])
+    use = [0, 1]
+    while True:
+        w = fit_logistic(x[:, use], y, RIDGE)
+        if (w[:-1] >= 0).all() or len(use) == 1:
+            break
+        use.remove(use[int(np.argmin(w[:-1]))])
+    out = np.zeros(3)
+    out[use], out[2] = np.maximum(0.0, w[:-1]), w[-1]
+    return out
+
+
 class QualityModel:
     def __init__(self, prior: float, content: Binned | None = None, metadata: Binned | None = None, joint=None):
         self.prior, self.content, self.metadata, self.joint = prior, content, metadata, joint
@@ -126,7 +146,7 @@ class QualityModel:
         if self.content is None or not len(c):
             return (np.full(len(c), self.prior),) * 3
         a, b = self.content.logits(c), self.metadata.logits(m)
-        return sigmoid(a), sigmoid(b), sigmoid(np.column_stack([a, b]) @ self.joint[:2] + self.joint[2])
+        return sigmoid(a), sigmoid(b), sigmoid(held(a) * self.joint[0] + held(b) * self.joint[1] + self.joint[2])
 
 
 def co_train(c: np.ndarray, m: np.ndarray, y: np.ndarray, part: np.ndarray, pool_c: np.ndarray, pool_m: np.ndarray) -> QualityModel:
@@ -153,8 +173,8 @@ def co_train(c: np.ndarray, m: np.ndarray, y: np.ndarray, part: np.ndarray, pool
         if all(np.array_equal(a, b, equal_nan=True) for a, b in zip(given, sure[::-1])):
             break
         given = sure[::-1]  # what one view is sure of teaches the other
-    logits = np.column_stack([model.logits(x[join]) for model, (x, _, _) in zip(models, views)])
-    return QualityModel(prior, models[0], models[1], fit_logistic(logits, y[join], 1e-3))
+    a, b = (model.logits(x[join]) for model, (x, _, _) in zip(models, views))
+    return QualityModel(prior, models[0], models[1], combine(a, b, y[join]))
 
 
 VIEWS = [f"c{i}" for i in range(CONTENT)] + [f"m{i}" for i in range(METADATA)]
