@@ -12,7 +12,7 @@ from compare import compare, duck  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from conftest import SF  # noqa: E402
 
-FAST = [n for n in queries() if n in oracle_sql() and n != "x_allocate_constrained"]
+FAST = [n for n in queries() if n in oracle_sql()]
 
 
 @pytest.fixture(scope="module")
