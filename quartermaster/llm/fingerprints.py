@@ -119,17 +119,18 @@ def neighbours(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     rows = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = rows.select("key")
-    bounds = np.unique(keys.select(F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or [])
+    bounds = np.unique(np.array(keys.select(F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or [], np.int64))
 
     @F.pandas_udf(T.IntegerType())
-    def range_of(key: pd.Series) -> pd.Series:  # nulls and the smallest keys: 0
-        return pd.Series(np.searchsorted(bounds, key.fillna(-(1 << 62)).astype("int64"), "right").astype(np.int32))
+    def place(key: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, key, "right").astype(np.int32))
 
-    firsts = keys.withColumn("range", range_of("key")).groupBy("range").agg(  # a row for each range at most
+    where = place(F.coalesce("key", F.lit(-(1 << 63))))  # nulls go with the smallest keys
+    firsts = keys.withColumn("range", where).groupBy("range").agg(  # a row for each range at most
         F.min("key").alias("low"), F.max(F.col("key").isNull()).alias("nulls")).orderBy("range").collect()
     lows = [(r["range"], None if r["nulls"] else r["low"]) for r in firsts]
     first = spark.createDataFrame([(w, low, lows[i - 1][0]) for i, (w, low) in enumerate(lows)], "range int, low long, before int")
-    ranged = rows.withColumn("range", range_of("key")).alias("r").join(F.broadcast(first).alias("f"), (
+    ranged = rows.withColumn("range", where).alias("r").join(F.broadcast(first).alias("f"), (
         F.col("r.range") == F.col("f.range")) & F.col("r.key").eqNullSafe(F.col("f.low")), "left")
     sent = F.array(F.struct(F.col("r.range").alias("range"), F.lit(False).alias("guest")),
                    F.struct(F.col("f.before").alias("range"), F.lit(True).alias("guest")))
