@@ -47,6 +47,11 @@ def override_without_comment(df: DataFrame, changed, comment_col: str, value_col
     return _finding(df.filter(changed & empty).select(value_col).distinct(), F.col(value_col), source, "Override without comment")
 
 
+def dispatch(categories: list[str], suites: dict[str, list[DataFrame]]) -> list[DataFrame]:
+    """The checks of the suites that the categories call for; a category without a suite calls for none."""
+    return [check for c in categories for check in suites.get(c, [])]
+
+
 def run_suite(findings: list[DataFrame], system: str) -> DataFrame:
     """The union of a data-driven list of checks, under a system's name."""
     out = reduce(lambda a, b: a.unionByName(b), findings).distinct()

@@ -1,6 +1,6 @@
 """Importing this module registers every query of the library."""
 
-from . import q_kpi, q_loads, q_master, q_products, q_views, q_demand_loads  # noqa: F401
+from . import q_kpi, q_loads, q_master, q_products, q_views, q_demand_loads, q_files  # noqa: F401
 from . import q_scalar  # noqa: F401
 from . import q_relational  # noqa: F401
 from . import q_allocate  # noqa: F401
