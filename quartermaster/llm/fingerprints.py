@@ -37,6 +37,8 @@ WIDE, LANES = 32, 256
 SEED_PARAGRAPH, SEED_PHRASE = 1, 2
 BYTES = 4 * WIDE + 2 * LANES
 CHUNK = 20_000
+#: Ranges of keys for each shuffle partition.
+RANGES = 4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -118,8 +120,9 @@ def neighbours(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     spark = df.sparkSession
     rows = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = RANGES * n  # several ranges meet in a partition, so partitions are of like size
     keys = rows.select("key")
-    bounds = np.unique(np.array(keys.select(F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or [], np.int64))
+    bounds = np.unique(np.array(keys.select(F.percentile_approx("key", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] or [], np.int64))
 
     @F.pandas_udf(T.IntegerType())
     def place(key: pd.Series) -> pd.Series:
