@@ -122,7 +122,7 @@ def neighbours(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = RANGES * n  # several ranges meet in a partition, so partitions are of like size
     keys = rows.select("key")
-    bounds = np.unique(np.array(keys.select(F.percentile_approx("key", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] or [], np.int64))
+    bounds = np.unique(np.array(keys.select(F.percentile_approx("key", [i / ranges for i in range(1, ranges)], max(10_000, 10 * ranges))).first()[0] or [], np.int64))
 
     @F.pandas_udf(T.IntegerType())
     def place(key: pd.Series) -> pd.Series:
