@@ -74,7 +74,7 @@ def v33_capacity_grid(spark, sf_dir):
     new = merge.upsert(current, sent, ["factory", "construction_type", "week_date_id"])
     suites = {"21": [validate.not_in_list(new, "construction_type", ["STANDARD", "PROMO"], "Capacity", "Construction type invalid")],
               "22": [validate.missing_in(new, ["factory"], m.factory.filter(k % 10 != 0), ["short_name"], "Capacity", "Factory missing")]}
-    found = validate.run_suite(validate.dispatch(["21", "22", "99"], suites), system="VANS")
+    found = validate.run_suite(validate.dispatch(["21", "22", "99"], suites), system="DEMAND")
     a = new.agg(F.count(F.lit(1)).alias("n"), F.sum("cells").alias("value")).select(F.lit("cells").alias("item"), "n", "value")
     b = ok.select(F.concat(F.lit("verdict "), "outcome").alias("item"), F.col("n_rows").alias("n"), F.col("n_keys").alias("value"))
     c = found.groupBy("category").agg(F.count(F.lit(1)).alias("n")).select(F.col("category").alias("item"), "n", F.lit(None).cast("bigint").alias("value"))

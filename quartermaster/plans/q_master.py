@@ -34,7 +34,7 @@ SUBMITTED = {
         CASE WHEN dim_factory_id % 2 = 0 THEN 0.0 END AS apac FROM {factory}""",
     "capacity_adjustment": """SELECT CASE WHEN dim_factory_id = 11 THEN 'nobody' ELSE lower(short_name) END AS factory, 0.8 AS percentage FROM {factory}""",
     "location": """SELECT DISTINCT region, CAST(dim_location_id AS VARCHAR(10)) AS country, CASE WHEN dim_location_id % 2 = 0 THEN 'AA' ELSE 'A' END AS code2 FROM {customer}""",
-    "factory": """SELECT 'VANS' AS brand, country_code AS country, short_name, CASE WHEN dim_factory_id % 31 = 4 THEN 'closed' ELSE lower(status) END AS status FROM {factory}""",
+    "factory": """SELECT 'DEMAND' AS brand, country_code AS country, short_name, CASE WHEN dim_factory_id % 31 = 4 THEN 'closed' ELSE lower(status) END AS status FROM {factory}""",
     "customer": """SELECT customer_name AS name, CASE WHEN dim_customer_id % 2 = 0 THEN 'Active' ELSE 'INACTIVE' END AS status FROM {customer}
         UNION ALL SELECT customer_name, 'Active' FROM {customer} WHERE dim_customer_id % 3 = 0""",
     "empty": """SELECT material_id AS mtl, 'CLK' AS factory FROM {product} WHERE dim_product_id < 0""",

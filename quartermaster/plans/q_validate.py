@@ -37,25 +37,25 @@ def v_validation_suite(spark, sf_dir):
         validate.missing_in(sized, ["material_id", "size"], dim_sizes, ["material_id", "size"], "NTB", "Material/size missing"),
         validate.invalid_dates(staged, "buy_dt", "NTB"),
         validate.not_in_list(m.product, "construction_type", CONSTRUCTION_TYPES, "Priority list", "Construction type invalid"),
-    ], system="VANS")
+    ], system="DEMAND")
 
 
 query("v_validation_suite", sql(f"""
 SELECT DISTINCT * FROM (
-  SELECT 'VANS' AS system, 'NTB' AS source, 'Customer missing' AS category, coalesce(t, '') AS value
+  SELECT 'DEMAND' AS system, 'NTB' AS source, 'Customer missing' AS category, coalesce(t, '') AS value
   FROM (SELECT DISTINCT CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 4 = 0 THEN 'Customer#' || ({pad('o_custkey', 9)})
                              WHEN o_orderkey % 4 = 1 THEN 'OLD' || CAST(o_custkey AS VARCHAR)
                              ELSE 'UNKNOWN' || CAST(o_custkey AS VARCHAR) END AS t FROM orders) s
   WHERE t IS NULL OR (t NOT IN (SELECT c_name FROM customer)
     AND t NOT IN (SELECT 'OLD' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 10 = 0))
   UNION ALL
-  SELECT 'VANS', 'NTB', 'Material/size missing', material_id || '/' || coalesce(size, '')
+  SELECT 'DEMAND', 'NTB', 'Material/size missing', material_id || '/' || coalesce(size, '')
   FROM (SELECT DISTINCT p.material_id, CASE WHEN d.line_id <> 6 THEN CAST(d.line_id AS VARCHAR) END AS size FROM demand d JOIN product p USING (dim_product_id)) x
   WHERE size IS NULL OR size NOT IN ('1', '2', '3', '4')
   UNION ALL
-  SELECT 'VANS', 'NTB', 'Invalid date', 'not a date' FROM orders WHERE o_orderkey % 7 = 0
+  SELECT 'DEMAND', 'NTB', 'Invalid date', 'not a date' FROM orders WHERE o_orderkey % 7 = 0
   UNION ALL
-  SELECT 'VANS', 'Priority list', 'Construction type invalid', construction_type FROM product
+  SELECT 'DEMAND', 'Priority list', 'Construction type invalid', construction_type FROM product
   WHERE construction_type NOT IN ({', '.join(repr(c) for c in CONSTRUCTION_TYPES)})
 ) u""", "demand", "product"))(v_validation_suite)
 

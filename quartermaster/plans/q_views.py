@@ -215,11 +215,11 @@ def v10_suites(spark, sf_dir):
         validate.missing_in(decisions, ["code"], codes, ["code"], "Decisions", "Factory missing"),
         validate.missing_in(plan, ["season", "month"], seasons, ["season_year_short_buy", "month_name_short_accounting"], "Forecast", "Season/month missing"),
         validate.not_in_list(grid, "construction_type", ["STANDARD", "MEDIUM", "ECONOMY", "PROMO", "LARGE"], "Capacity", "Construction type invalid"),
-        validate.not_in_list(grid, "year", [str(y) for y in range(2010, 2051)], "Capacity", "Year invalid")], system="VANS")
+        validate.not_in_list(grid, "year", [str(y) for y in range(2010, 2051)], "Capacity", "Year invalid")], system="DEMAND")
 
 
 query("v10_suites", sql("""
-SELECT DISTINCT 'VANS' AS system, source, category, value FROM (
+SELECT DISTINCT 'DEMAND' AS system, source, category, value FROM (
   SELECT CASE demand_category WHEN 'Need to Buy' THEN 'NTB' ELSE 'Forecast' END AS source, 'Not in the priority list' AS category, material_id AS value
   FROM demand JOIN product USING (dim_product_id) WHERE demand_category IN ('Need to Buy', 'Forecast') AND dim_product_id % 17 = 3
   UNION ALL SELECT 'Decisions', 'Override without comment', CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_orderkey % 2 = 0 AND l_orderkey % 3 <> 0
