@@ -1,8 +1,9 @@
 """Toxicity after noisy-channel deobfuscation.
 
 A character language model (byte trigrams of words, counted over every document) and a channel of disguises make a
-lattice for each suspicious token: digits and symbols that stand for letters, separators put between letters, letters
-repeated, letters spaced out.  Viterbi decoding finds the likeliest plain reading, and the *restored* text is scored.
+lattice for each token that holds any of them: digits and symbols that stand for letters, separators put between letters, letters
+repeated, letters spaced out.  Viterbi decoding finds the likeliest plain reading, and the likeliest one in which every
+disguise is a letter; the *restored* text is scored, the words as written with it.
 
 Scoring: the evidence of a word is the largest weight among the word and its beginnings of 3 to 6 letters; a document's
 score is a calibrated logistic function of its strongest evidence
@@ -47,9 +48,12 @@ SEPARATORS = ".-_*~·'`,/:"
 EDGE = "\"#%&()*+,-./:;<=>?[\\]^_`{|}~!'«»“”„…¿¡ "
 LETTER = re.compile(r"[^\W\d_]")
 PLAIN = re.compile(r"[^\W\d_]+")
-REPEATED = re.compile(r"([^\W\d_])\1\1")
+DOUBLED = re.compile(r"([^\W\d_])\1")
 SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
-INSIDE = re.compile(r"[^\W\d_]?[0-9@$!|+(€£¡.\-_*~·'`,/:]+[^\W\d_]")
+CHANNEL = re.compile("[" + re.escape("".join(DISGUISES) + SEPARATORS) + "]")
+DISGUISED = re.compile("[" + re.escape("".join(DISGUISES)) + "]")
+#: Characters that can only be a boundary or nothing at the ends of a token, so taking them off changes no reading.
+BARE_EDGE = "".join(c for c in EDGE if c not in DISGUISES)
 
 # Symbols of the language model: a boundary (0), a to z, bytes of 128 and more.
 SYMBOLS = 155
@@ -116,8 +120,9 @@ class CharModel:
 
 # ---- noisy channel ------------------------------------------------------------------------------------------------
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """For each run of equal characters, its readings with the logarithms of their channel probabilities."""
+def lattice(token: str, letters: bool = False) -> list[list[tuple[str, float]]]:
+    """For each run of equal characters, its readings with the logarithms of their channel probabilities; with
+    ``letters`` every disguise stands for a letter."""
     out, i = [], 0
     while i < len(token):
         c, j = token[i], i + 1
@@ -127,7 +132,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         if LETTER.match(c):
             out.append([(c, 0.0)] if n == 1 else [(c, -2.0 if n == 2 else -0.7), (c * 2, -0.2 if n == 2 else -0.7)])
         else:
-            readings = [(" ", -3.0)]
+            readings = [] if letters and c in DISGUISES else [(" ", -3.0)]
             if c in SEPARATORS or c.isspace():
                 readings.append(("", -0.5))
             for x in DISGUISES.get(c, ""):
@@ -137,10 +142,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(token: str, model: CharModel) -> str:
+def decode(token: str, model: CharModel, letters: bool = False) -> str:
     """The likeliest plain reading of a token; boundaries are blanks."""
     best = {(0, 0): (0.0, "")}
-    for readings in [*lattice(token), [(" ", 0.0)]]:
+    for readings in [*lattice(token, letters), [(" ", 0.0)]]:
         step: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (score, text) in best.items():
             for reading, cost in readings:
@@ -157,7 +162,7 @@ def decode(token: str, model: CharModel) -> str:
 
 
 def suspicious(token: str) -> bool:
-    return bool(" " in token or INSIDE.search(token) or REPEATED.search(token) or (token[0] in DISGUISES and LETTER.search(token)))
+    return bool(" " in token or CHANNEL.search(token) or DOUBLED.search(token))
 
 
 class Restorer:
@@ -177,15 +182,17 @@ class Restorer:
         return known
 
     def _words(self, token: str) -> set[str]:
-        core = token.strip(EDGE)
-        if core.isalpha() and not REPEATED.search(core):
-            return {core}
+        bare = token.strip(BARE_EDGE)
+        if bare.isalpha() and not DOUBLED.search(bare):
+            return {bare}
         words = set(PLAIN.findall(token))
         for a in range(0, len(token), LONG_TOKEN):  # a long token is read in stretches that overlap by half
             part = token[max(0, a - LONG_TOKEN // 2):a + LONG_TOKEN]
-            for form in {part, part.strip(EDGE)}:
+            for form in {part.strip(BARE_EDGE), part.strip(EDGE)}:
                 if form and suspicious(form):
                     words.update(decode(form, self.model).split())
+                    if DISGUISED.search(form):  # the plain words are there already, so a disguise may not be a boundary only
+                        words.update(decode(form, self.model, True).split())
         return words
 
     def words(self, text: str) -> set[str]:

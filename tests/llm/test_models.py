@@ -50,6 +50,17 @@ def test_disguises_are_read():
     assert "idiot" in r.words("an i d i o t here") and r.words("plain words") == {"plain", "words"}
 
 
+def test_disguises_at_the_ends_are_read():
+    text = "you idiot trash scum dumbass you ass idiot trash scum ass plain will " * 50
+    s = toxicity.SYMBOL_OF[np.frombuffer(f"  {text} ".encode(), np.uint8)]
+    grams, n = np.unique((s[:-2] * toxicity.SYMBOLS + s[1:-1]) * toxicity.SYMBOLS + s[2:], return_counts=True)
+    r = toxicity.Restorer(toxicity.CharModel(dict(zip(grams.tolist(), n.tolist()))))
+    for token, word in (("!diot", "idiot"), ("|diot", "idiot"), ("+rash", "trash"), ("idio+", "idiot"), ("(!diot),", "idiot"), ("a55", "ass"),
+                        ("@55", "ass"), ("455", "ass"), ("iidiot", "idiot"), ("ttrash", "trash"), ("sscum", "scum"), ("will", "will"), ("plain!", "plain")):
+        assert word in r.words(f"a {token} b"), token
+    assert r.words("plain, \"words\".") == {"plain", "words"} and r.words("... , #") == set()
+
+
 PAGES = [
     ("http://a.example/1", "<html><body><nav><a href=x>Menu</a></nav><div class=post><h1>T &amp;amp; t</h1><p>One  two\n three<p>Four <b>five</b></div><footer>f</footer>",
      "T &amp; t\nOne two three\nFour five"),
