@@ -9,7 +9,7 @@ Scoring: the evidence of a word is the largest weight among the word and its beg
 score is a calibrated logistic function of its strongest evidence
 and its length.  Weights are lower confidence bounds of log-odds over
 labelled training rows, calibrated out of fold.  Training takes at most ``TRAIN_ROWS`` labelled rows (by hash of the
-id), never held-out ones, and weighs at most ``MAX_FEATURES`` features; the language model covers all rows.
+id), never held-out ones, and weighs every feature of ``MIN_TOXIC`` toxic ones; the language model covers all rows.
 
 Null and empty texts have no evidence and get the score of none.  Null labels and ids that occur several times in the
 labels count once, toxic if any row says so.  Without both classes to learn from every score is the smoothed share of
@@ -32,7 +32,6 @@ from quartermaster.llm.bpe import texts_of
 from quartermaster.llm.common import cut, fold_of, map_batches, schema_of
 
 TRAIN_ROWS = 20_000
-MAX_FEATURES = 20_000
 MIN_TOXIC = 5
 #: Standard errors by which a weight is lowered.
 SURENESS = 2.0
@@ -306,16 +305,18 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
 
     counted = map_batches(rows.where("y > 0"), in_toxic, schema_of(("feature", T.StringType()), ("n", T.LongType())))
     counted = counted.groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TOXIC)
-    listed = [r["feature"] for r in counted.orderBy(F.desc("n"), "feature").limit(MAX_FEATURES).collect()]
+    listed = sorted(r["feature"] for r in counted.select("feature").collect())  # TRAIN_ROWS and MIN_TOXIC bound them
     number = {f: i for i, f in enumerate(listed)}
 
     def by_class(batch):
-        table = np.zeros((len(listed), 2 * FOLDS), np.int64)
+        seen: Counter[int] = Counter()
         for y, fold, ws in zip(*(batch.column(c).to_pylist() for c in ("y", "fold", "words"))):
-            own = {number[f] for w in ws for f in features(w) if f in number}
-            table[list(own), 2 * fold + (y > 0)] += 1
-        at = np.flatnonzero(table.any(axis=1))
-        return {"i": pa.array(at), **{f"n{k}": pa.array(table[at, k]) for k in range(2 * FOLDS)}}
+            seen.update({number[f] * 2 * FOLDS + 2 * fold + (y > 0) for w in ws for f in features(w) if f in number})
+        cells = np.fromiter(seen, np.int64, len(seen))
+        at, row = np.unique(cells // (2 * FOLDS), return_inverse=True)
+        table = np.zeros((len(at), 2 * FOLDS), np.int64)
+        table[row, cells % (2 * FOLDS)] = np.fromiter(seen.values(), np.int64, len(seen))
+        return {"i": pa.array(at), **{f"n{k}": pa.array(table[:, k]) for k in range(2 * FOLDS)}}
 
     columns = [f"n{k}" for k in range(2 * FOLDS)]
     sums = map_batches(rows, by_class, schema_of(*((c, T.LongType()) for c in ("i", *columns))))

@@ -61,6 +61,19 @@ def test_disguises_at_the_ends_are_read():
     assert r.words("plain, \"words\".") == {"plain", "words"} and r.words("... , #") == set()
 
 
+def test_rare_insults_are_weighed_beside_many_common_words(spark):
+    import zlib
+    prepare(spark)
+    rnd = random.Random(3)
+    common = sorted({"".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(8000)})
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2][:300]
+    rows = [(i, " ".join([str(i), *(common if n < 16 else common[:20]), *(["qwxyzzy"] if n < 5 else [])]), int(n < 8)) for n, i in enumerate(ids)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    assert len({f for w in common for f in toxicity.features(w)}) > 20_000
+    assert model.weights["qwxyzzy$"] > 0 and len(model.weights) > 20_000
+
+
 PAGES = [
     ("http://a.example/1", "<html><body><nav><a href=x>Menu</a></nav><div class=post><h1>T &amp;amp; t</h1><p>One  two\n three<p>Four <b>five</b></div><footer>f</footer>",
      "T &amp; t\nOne two three\nFour five"),
