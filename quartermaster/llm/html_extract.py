@@ -2,10 +2,10 @@
 
 Pass 1 parses every page and scores its containers: text in blocks, less what lies in links, weighed by how article-like
 or menu-like the container's tag and class are.  A container's path of tags and classes is generalised (digits become
-#, positions are dropped), and the page's best paths vote.  Votes are summed for each host in Spark, salted first, so a
-host that holds a third of all pages is never gathered in one task; the table of winners has one row for each host.
-Pass 2 joins the winners to the pages and extracts every page again: with the best of its host's winning paths that it
-has, else with its own best container.
+#, positions are dropped), and the page's best paths vote.  Votes are summed for each host and path in Spark, salted first,
+so a host that holds a third of all pages is never gathered in one task, and all voted paths are kept.  Pass 2 brings to
+each page the votes for the paths that it has and extracts it again: with the path that is best by the host's votes times
+the page's own score, paths left out that only surround a better one; without votes, with its own best container.
 
 Inside the container, menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left
 out by tag, role, class or id.  Character references are decoded once, white space inside a block becomes one blank,
@@ -20,12 +20,12 @@ from __future__ import annotations
 import html as html_lib
 import re
 
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quartermaster.llm.common import cut, map_batches, schema_of
-from quartermaster.llm.url_filter import split_url
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?=[\s=>/]|\Z)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -56,6 +56,8 @@ BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary searc
 ARTICLE_LIKE = re.compile(r"(?:^|[\s_-])(?:article\w*|post|story\w*|content|main|entry|text|body|blog)(?:$|[\s_-])", re.I)
 TAG_WEIGHT = {"article": 3.0, "main": 2.0, "section": 1.1, "div": 1.0, "td": 0.9, "center": 0.9, "blockquote": 0.6, "body": 0.5}
 VOTES = 3
+#: Share of a voted container's score at which a container around it is a bare one.
+BARE = 0.5
 SALTS = 64
 
 
@@ -209,23 +211,59 @@ def measure(root: Node) -> list[tuple[float, str, Node]]:
     return found
 
 
-def page_votes(source: str | None) -> dict[str, float]:
-    """The page's best paths and their scores as shares of the best one's."""
+def path_scores(found: list[tuple[float, str, Node]]) -> dict[str, float]:
+    """Scores of the page's paths above zero, as shares of the best one's."""
     scores: dict[str, float] = {}
-    for s, p, _ in measure(parse(source or "")):
+    for s, p, _ in found:
         scores[p] = scores.get(p, 0.0) + s
-    best = sorted(((s, p) for p, s in scores.items() if s > 0), reverse=True)[:VOTES]
-    return {p: s / best[0][0] for s, p in best}
+    best = max(scores.values(), default=0.0)
+    return {p: s / best for p, s in scores.items() if s > 0}
 
 
-def extract(source: str | None, winners: list[str]) -> str:
-    """Text of the nodes on the first winning path that the page has; without one, of its best container, else of all."""
+def page_votes(scores: dict[str, float]) -> dict[str, float]:
+    """The page's best paths and their scores."""
+    return dict(sorted(scores.items(), key=lambda f: (f[1], f[0]), reverse=True)[:VOTES])
+
+
+def path_key(host: str, path: str) -> bytes:
+    return xxhash.xxh128_digest(f"{host}\n{path}")
+
+
+def consensus(found: list[tuple[float, str, Node]], votes: dict[str, tuple[float, int]]) -> str | None:
+    """The page's path with the most of its host's votes (sum, pages) times its own score.
+
+    Every page has a small vote for the containers around its text, so on a large host their votes are many.  Such a
+    path is left out where a voted container inside it has a better score and either it has at most ``BARE`` of that
+    score or its mean vote on the host is below ``BARE``.
+    """
+    own = {p: s for p, s in path_scores(found).items() if p in votes}
+    inside: dict[int, float] = {}  # the best score of voted paths inside a node; inner nodes come first
+    best: dict[str, float] = {}
+    for _, p, node in found:
+        within = inside.pop(id(node), 0.0)
+        best[p] = max(best.get(p, 0.0), within)
+        up = node.parent
+        while up is not None and up.tag not in CONTAINERS:
+            up = up.parent
+        if up is not None:
+            inside[id(up)] = max(inside.get(id(up), 0.0), within, own.get(p, 0.0))
+    kept = [(votes[p][0] * s, p) for p, s in own.items()
+            if s >= best[p] or (s > BARE * best[p] and votes[p][0] >= BARE * votes[p][1])]
+    return max(kept, key=lambda f: (f[0], f[1]), default=(0.0, None))[1]
+
+
+def extract(source: str | None, winners: list[str], votes: dict[bytes, tuple[float, int]] | None = None, host: str = "") -> str:
+    """Text of the nodes on the path that ``votes`` (by path key) make best, else on the first of ``winners`` that the page
+    has; without one, of its best container, else of all."""
     root = parse(source or "")
     found = measure(root)
     by_path: dict[str, list[Node]] = {}
     for s, p, node in found:
         if s > 0:
             by_path.setdefault(p, []).append(node)
+    if votes:
+        of_path = {p: votes[k] for p in by_path if (k := path_key(host, p)) in votes}
+        winners = [p for p in [consensus(found, of_path)] if p is not None] + winners
     nodes = next((by_path[p] for p in winners if p in by_path), None)
     if nodes is None:
         best = max(found, key=lambda f: f[0], default=None)
@@ -240,38 +278,41 @@ def extract(source: str | None, winners: list[str]) -> str:
     return "\n".join(b for node in nodes if id(node) not in inner for b in blocks(node))
 
 
-def winning_paths(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
-    """(host, winners array<string>): each host's paths, by the votes of all its pages, best first, ``VOTES`` of them."""
+def with_keys(pages: DataFrame, key: str, url: str, source: str) -> DataFrame:
+    """(key, url, html, host, page): the page's key is of its host and html, so equal pages share what is found for one."""
+    host = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"://([^/?#]*)", 1)
+    host = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    own = pages.select(F.col(key).cast("long").alias(key), F.col(url).alias("url"), F.col(source).alias("html"), host.alias("host"))
+    return own.withColumn("page", F.unhex(F.md5(F.concat_ws("\n", "host", F.coalesce("html", F.lit(""))))))
+
+
+def voted_paths(own: DataFrame) -> DataFrame:
+    """(page, votes array<path, votes, pages>): for each distinct page, its host's votes for every path that it has."""
     def vote(batch):
-        sums: dict[tuple[str, str], list[float]] = {}
-        for u, h in zip(batch.column(url).to_pylist(), batch.column(source).to_pylist()):
-            for p, s in page_votes(h).items():
-                got = sums.setdefault((split_url(u)[0], p), [0.0, 0])
-                got[0] += s
-                got[1] += 1
-        return {"host": [k[0] for k in sums], "path": [k[1] for k in sums], "votes": [v[0] for v in sums.values()],
-                "pages": [v[1] for v in sums.values()]}
-
-    kinds = schema_of(("host", T.StringType()), ("path", T.StringType()), ("votes", T.DoubleType()), ("pages", T.LongType()))
-    votes = map_batches(pages.select(url, source), vote, kinds)
-    salted = votes.groupBy("host", "path", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt")).agg(
-        F.sum("votes").alias("votes"), F.sum("pages").alias("pages"))
-    totals = salted.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"), F.sum("pages").alias("pages"))
-    ranked = totals.withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path")))
-    listed = ranked.where(F.col("rank") <= VOTES).groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("w"))
-    return listed.select("host", F.col("w.path").alias("winners"))
+        rows = []
+        for host, page, source in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html"))):
+            scores = path_scores(measure(parse(source or "")))
+            votes = page_votes(scores)
+            rows += [(page, path_key(host, p), votes.get(p)) for p in scores]
+        return dict(zip(("page", "path", "vote"), zip(*rows))) if rows else {"page": [], "path": [], "vote": []}
+
+    kinds = schema_of(("page", T.BinaryType()), ("path", T.BinaryType()), ("vote", T.DoubleType()))
+    seen = cut(map_batches(own.select("host", "page", "html"), vote, kinds))
+    salted = seen.where(F.col("vote").isNotNull()).groupBy("path", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt")).agg(
+        F.sum("vote").alias("votes"), F.count(F.lit(1)).alias("pages"))
+    totals = salted.groupBy("path").agg(F.round(F.sum("votes"), 6).alias("votes"), F.sum("pages").alias("pages"))
+    had = seen.select("page", "path").distinct().join(totals, "path")
+    return had.groupBy("page").agg(F.collect_list(F.struct("path", "votes", "pages")).alias("voted"))
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """(key, url, text, n_chars) of every page."""
-    winners = cut(winning_paths(pages, url, source))
-    host = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"://([^/?#]*)", 1)
-    host = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    own = pages.select(F.col(key).cast("long").alias(key), F.col(url).alias("url"), F.col(source).alias("html"), host.alias("host"))
+    own = with_keys(pages, key, url, source)
 
     def run(batch):
-        texts = [extract(h, w or []) for h, w in zip(batch.column("html").to_pylist(), batch.column("winners").to_pylist())]
+        texts = [extract(h, [], {v["path"]: (v["votes"], v["pages"]) for v in voted or []}, host)
+                 for h, host, voted in zip(*(batch.column(c).to_pylist() for c in ("html", "host", "voted")))]
         return {key: batch.column(key), "url": batch.column("url"), "text": texts, "n_chars": [len(t) for t in texts]}
 
     kinds = schema_of((key, T.LongType()), ("url", T.StringType()), ("text", T.StringType()), ("n_chars", T.LongType()))
-    return map_batches(own.join(winners, "host", "left").select(key, "url", "html", "winners"), run, kinds)
+    return map_batches(own.join(voted_paths(own), "page", "left").select(key, "url", "html", "host", "voted"), run, kinds)

@@ -102,6 +102,18 @@ def test_html_deep_and_long_pages():
     assert html_extract.extract("<article><p>open <b>bold", ["body>article"]) == "open bold"
 
 
+def test_html_minority_templates_keep_their_container(spark):
+    prepare(spark)
+    text = "".join(f"<p>Sentence {{}} of a long story, number {k}, with enough words in it to count.</p>" for k in range(6))
+    makers = [("<article>", "</article>")] * 700 + [("<div class=post>", "</div>")] * 250 + [("<div class=content>", "</div>")] * 50
+    rows = [(i, f"http://big.example/{i}", f"<html><body><p>Site name and slogan</p>{a}{text.format(*[i] * 6)}{b}<p>Made by us</p></body></html>")
+            for i, (a, b) in enumerate(makers)] + [(1000, "http://big.example/p", "<html><body><p>Only a plain page</p></body></html>")]
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows) and got[1000] == "Only a plain page"
+    for i in range(1000):
+        assert got[i].startswith(f"Sentence {i} ") and "slogan" not in got[i] and "Made by" not in got[i]
+
+
 def test_html_of_the_test_pages(spark):
     import html
     import re
