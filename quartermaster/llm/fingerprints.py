@@ -8,8 +8,10 @@ inserting or deleting a paragraph adds or subtracts that paragraph's vector.  It
 * 256 lanes modulo 2^16 of the paragraphs' phrases, each with entries +1 or -1: the products of two sums estimate how
   many phrases two texts share (the error is about 1/sqrt(256)), which gives the likeness.
 
-Phrases are cut at the ends of sentences and, as content decides, after about every eighth word, so a change reaches
-only the phrases it touches.  A text without paragraphs has the zero fingerprint; two of them have likeness 1, one of
+Phrases are cut at the ends of sentences and, as content decides, after about every eighth word, or inside words of more
+than ``LONG`` bytes (text without white space) after about every 32nd byte, so a change reaches only the phrases it
+touches.  Where content never decides, as in a repeated word, a phrase ends at the smallest hash of ``MOST_WORDS`` words or
+``MOST_BYTES`` bytes.  A text without paragraphs has the zero fingerprint; two of them have likeness 1, one of
 them and another text 0.  Null text counts as empty.
 
 ``neighbours`` brings to each document the next one in ascending order of (key, text), after the last the first; nulls
@@ -37,6 +39,9 @@ WIDE, LANES = 32, 256
 SEED_PARAGRAPH, SEED_PHRASE = 1, 2
 BYTES = 4 * WIDE + 2 * LANES
 CHUNK = 20_000
+LONG, WINDOW = 32, 8
+MOST_WORDS, MOST_BYTES = 64, 256
+BLOCK = 1 << 18
 #: Ranges of keys for each shuffle partition.
 RANGES = 4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -73,15 +78,67 @@ def phrase_vector(hashes: np.ndarray) -> np.ndarray:
     return total.astype(np.int16)
 
 
+def forced(hashes: np.ndarray, most: int) -> Iterator[int]:
+    """Ends of stretches of at most ``most`` where no other end is: after the last of the smallest hashes, so that equal
+    contents are cut alike wherever they begin."""
+    a = 0
+    while len(hashes) - a > most:
+        a += most - int(np.argmin(hashes[a:a + most][::-1]))
+        yield a
+
+
+def rolling(word: bytes, a: int, b: int) -> np.ndarray:
+    """The hashes of the WINDOW bytes that end at each byte from a to b."""
+    before = word[max(0, a - WINDOW + 1):a].rjust(WINDOW - 1, b"\0")
+    raw, n = np.frombuffer(before + word[a:b], np.uint8).astype(np.uint64), b - a
+    total = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(WINDOW):
+            total = total * _ODD + raw[k:k + n]
+        return mixed(total)
+
+
+def pieces(word: bytes) -> Iterator[bytes]:
+    """A long word, cut where the hash of the last WINDOW bytes is 0 modulo 32; read in blocks, which change nothing."""
+    a, n, held = 0, len(word), np.zeros(0, np.uint64)  # held: the hashes from a on
+    for at in range(0, n, BLOCK):
+        base, hashes = a, np.concatenate([held, rolling(word, at, min(n, at + BLOCK))])
+        ends = np.flatnonzero(hashes[at - base:] & np.uint64(31) == 0) + at + 1
+        for b, is_end in [*((b, True) for b in ends.tolist()), (base + len(hashes), base + len(hashes) == n)]:
+            start = a
+            for k in forced(hashes[start - base:b - base], MOST_BYTES):
+                yield word[a:start + k]
+                a = start + k
+            if a < b and is_end:
+                yield word[a:b]
+                a = b
+        held = hashes[a - base:]
+
+
 def phrases(words: list[bytes]) -> Iterator[bytes]:
-    """A phrase ends with a word that ends a sentence, or whose hash is 0 modulo 8."""
+    """A phrase ends with a word that ends a sentence, or whose hash is 0 modulo 8, with a piece of a long word, or where
+    it would grow beyond MOST_WORDS words."""
     a = 0
+
+    def up_to(b):
+        nonlocal a
+        if b - a > MOST_WORDS:
+            start = a
+            for k in forced(np.array([xxhash.xxh64_intdigest(w) for w in words[a:b]], np.uint64), MOST_WORDS):
+                yield b" ".join(words[a:start + k])
+                a = start + k
+        if a < b:
+            yield b" ".join(words[a:b])
+        a = b
+
     for i, w in enumerate(words, 1):
-        if w[-1] in b".!?" or not w[0] * 131 + w[-1] * 31 + len(w) & 7:
-            yield b" ".join(words[a:i])
+        if len(w) > LONG:
+            yield from up_to(i - 1)
+            yield from pieces(w)
             a = i
-    if a < len(words):
-        yield b" ".join(words[a:])
+        elif w[-1] in b".!?" or not w[0] * 131 + w[-1] * 31 + len(w) & 7:
+            yield from up_to(i)
+    yield from up_to(len(words))
 
 
 def fingerprint(text: str) -> bytes:

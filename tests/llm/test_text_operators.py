@@ -177,6 +177,35 @@ def test_likeness_follows_the_shared_half():
     assert 0.35 < fingerprints.likeness(fa, fh) < 0.65 and fingerprints.likeness(fa, fb) < 0.25
 
 
+def test_likeness_of_texts_without_phrase_ends():
+    rnd = random.Random(2)
+    cjk, other = ("".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(6000)) for _ in "ab")
+    blob, blob2 = ("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=20_000)) for _ in "ab")
+    for a, b in ((cjk, other), (blob, blob2)):
+        fa, fb, fh = map(fingerprints.fingerprint, (a, b, fingerprints.half_edited(a, b)))
+        assert 0.35 < fingerprints.likeness(fa, fh) < 0.65 and fingerprints.likeness(fa, fb) < 0.25
+    for a, b in (("a " * 5000, "o " * 5000), ("a" * 50_000, "o" * 50_000)):
+        fa, fb, fh = map(fingerprints.fingerprint, (a, b, fingerprints.half_edited(a, b)))
+        assert 0.5 < fingerprints.likeness(fa, fh) < 1 and fingerprints.likeness(fa, fb) < 0.25
+    shifted = fingerprints.fingerprint("x " + "a o " * 5000)
+    assert fingerprints.likeness(fingerprints.fingerprint("o a " * 5000), shifted) > 0.9
+
+
+def test_pieces_and_phrases_hold_every_byte(monkeypatch):
+    rnd = random.Random(4)
+    long = [bytes(rnd.choices(b"abcdefgh", k=5000)), b"ab" * 2000, b"a" * 3000, bytes(rnd.choices(b"ab", k=3000))]
+    whole = [list(fingerprints.pieces(w)) for w in long]
+    for size in (7, 8, 100, 256, 1000):
+        monkeypatch.setattr(fingerprints, "BLOCK", size)
+        assert [list(fingerprints.pieces(w)) for w in long] == whole
+    assert all(b"".join(p) == w and len(p) > 8 and max(map(len, p)) <= 256 for p, w in zip(whole, long))
+    for _ in range(200):
+        words = [bytes(rnd.choices(b"ab.xyz\xe4", k=rnd.choice((1, 2, 5, 40, 700)))) for _ in range(rnd.choice((1, 3, 200)))]
+        got = list(fingerprints.phrases(words))
+        assert b"".join(got).replace(b" ", b"") == b"".join(words) and max(map(len, got)) <= 64 * 33
+    assert list(fingerprints.phrases([])) == []
+
+
 def brute_print(text, words=4):
     w = (text or "").translate({c: c + 32 for c in range(65, 91)}).encode().split()
     sh = [b" ".join(w[i:i + words]) for i in range(max(1, len(w) - words + 1))] if w else []
