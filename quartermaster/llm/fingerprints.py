@@ -5,8 +5,9 @@ by lane and modulo a power of two, of wide vectors hashed from its members, so i
 inserting or deleting a paragraph adds or subtracts that paragraph's vector.  It has two parts:
 
 * 32 lanes modulo 2^32 of whole paragraphs: equal multisets are equal here, different ones differ but for chance;
-* 256 lanes modulo 2^16 of the paragraphs' phrases, each with entries +1 or -1: the products of two sums estimate how
-  many phrases two texts share (the error is about 1/sqrt(256)), which gives the likeness.
+* 256 lanes modulo 2^32 of the paragraphs' phrases, each with entries +1 or -1: the products of two sums estimate how
+  many phrases two texts share (the error is about 1/sqrt(256)), which gives the likeness.  A text of up to 2 GB, the
+  most a row holds, has fewer than 2^31 phrases, so no lane wraps.
 
 Phrases are cut at the ends of sentences and, as content decides, after about every eighth word, or inside words of more
 than ``LONG`` bytes (text without white space) after about every 32nd byte, so a change reaches only the phrases it
@@ -37,7 +38,7 @@ from quartermaster.llm.common import schema_of
 
 WIDE, LANES = 32, 256
 SEED_PARAGRAPH, SEED_PHRASE = 1, 2
-BYTES = 4 * WIDE + 2 * LANES
+BYTES = 4 * WIDE + 4 * LANES
 CHUNK = 20_000
 LONG, WINDOW = 32, 8
 MOST_WORDS, MOST_BYTES = 64, 256
@@ -69,13 +70,13 @@ def paragraph_vector(hashes: np.ndarray) -> np.ndarray:
 
 
 def phrase_vector(hashes: np.ndarray) -> np.ndarray:
-    """The sum of the phrases' vectors of +1 and -1: LANES lanes modulo 2^16."""
+    """The sum of the phrases' vectors of +1 and -1: LANES lanes modulo 2^32."""
     total = np.zeros(LANES, np.int64)
     for a in range(0, len(hashes), CHUNK):
         part = hashes[a:a + CHUNK]
         bits = np.unpackbits(words_of(part, LANES // 64).view(np.uint8), axis=1)
         total += 2 * bits.sum(axis=0, dtype=np.int64) - len(part)
-    return total.astype(np.int16)
+    return total.astype(np.int32)
 
 
 def forced(hashes: np.ndarray, most: int) -> Iterator[int]:
@@ -148,18 +149,18 @@ def fingerprint(text: str) -> bytes:
             whole.append(xxhash.xxh64_intdigest(b" ".join(words), SEED_PARAGRAPH))
             parts += [xxhash.xxh64_intdigest(p, SEED_PHRASE) for p in phrases(words)]
     return (paragraph_vector(np.array(whole, np.uint64)).astype("<u4").tobytes()
-            + phrase_vector(np.array(parts, np.uint64)).astype("<i2").tobytes())
+            + phrase_vector(np.array(parts, np.uint64)).astype("<i4").tobytes())
 
 
 def _lanes(fp: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(fp[:4 * WIDE], "<u4"), np.frombuffer(fp[4 * WIDE:], "<i2")
+    return np.frombuffer(fp[:4 * WIDE], "<u4"), np.frombuffer(fp[4 * WIDE:], "<i4")
 
 
 def combine(a: bytes, b: bytes, sign: int = 1) -> bytes:
     """The fingerprint of two multisets together (sign 1), or of the first without the second (sign -1)."""
     (p, x), (q, y) = _lanes(a), _lanes(b)
     return ((p + q if sign > 0 else p - q).astype("<u4").tobytes()
-            + (x.astype(np.int64) + sign * y.astype(np.int64)).astype("<i2").tobytes())
+            + (x.astype(np.int64) + sign * y.astype(np.int64)).astype("<i4").tobytes())
 
 
 def likeness(a: bytes, b: bytes) -> float:

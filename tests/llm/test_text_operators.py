@@ -177,6 +177,14 @@ def test_likeness_follows_the_shared_half():
     assert 0.35 < fingerprints.likeness(fa, fh) < 0.65 and fingerprints.likeness(fa, fb) < 0.25
 
 
+def test_likeness_of_very_long_repetitive_texts():
+    for n in (40_000, 65_536):
+        a, b = "the same phrase.\n" * n, "one more of them.\n" * n
+        fa, fh = fingerprints.fingerprint(a), fingerprints.fingerprint(fingerprints.half_edited(a, b))
+        assert 0.7 < fingerprints.likeness(fa, fh) < 0.9
+        assert fingerprints.combine(fingerprints.combine(fa, fh), fh, -1) == fa
+
+
 def test_likeness_of_texts_without_phrase_ends():
     rnd = random.Random(2)
     cjk, other = ("".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(6000)) for _ in "ab")
