@@ -43,8 +43,27 @@ SUBMITTED = {
 SYNCED = ("location", "factory", "customer")
 
 
+#: The submitted tables of V28 and V37-V39 with the business and the country; the product's lead time stands in for its size.
+SUBMITTED_MORE = {
+    "prebuild": """SELECT CASE WHEN dim_product_id % 83 = 6 THEN 'MOON' ELSE 'emea' END AS region, material_id AS mtl,
+        CAST(CASE WHEN dim_product_id % 89 = 7 THEN production_lt + 1 ELSE production_lt END AS VARCHAR(10)) AS size,
+        CASE WHEN dim_product_id % 97 = 8 THEN 'nobody' ELSE 'clk' END AS factory,
+        CASE WHEN dim_product_id % 101 = 9 THEN 'Someday' ELSE 'bulk buy' END AS buying_program FROM {product}""",
+    "construction_type": """SELECT DISTINCT CASE WHEN dim_product_id % 50 = 3 THEN 'X ' ELSE construction_type END AS name FROM {product}""",
+    "demand_category": """SELECT DISTINCT status AS name FROM {factory}""",
+    "buying_program": """SELECT CASE WHEN dim_factory_id % 5 = 2 THEN 'ELSE' ELSE 'DEMAND' END AS brand, 'FOOTWEAR' AS product_line, 'any' AS category,
+        CASE WHEN dim_factory_id % 7 = 3 THEN 'P' ELSE short_name END AS name FROM {factory}""",
+    "factory_business": """SELECT 'DEMAND' AS brand, CASE WHEN dim_factory_id % 3 = 2 THEN 'HATS' ELSE 'FOOTWEAR' END AS product_line,
+        lower(country_code) AS country, short_name, status FROM {factory}""",
+    "customer_country": """SELECT customer_name AS name, CASE WHEN dim_customer_id % 40 = 6 THEN '99' ELSE CAST(dim_location_id AS VARCHAR(10)) END AS country,
+        'Active' AS status FROM {customer}""",
+}
+SYNCED_MORE = ("construction_type", "demand_category", "buying_program", "factory_business", "customer_country")
+BUSINESS = [("DEMAND", "FOOTWEAR")]
+
+
 def _submitted(spark, m, name):
-    return spark.sql(SUBMITTED[name].replace("VARCHAR(10)", "STRING"), product=m.product, factory=m.factory, customer=m.customer)
+    return spark.sql((SUBMITTED | SUBMITTED_MORE)[name].replace("VARCHAR(10)", "STRING"), product=m.product, factory=m.factory, customer=m.customer)
 
 
 def _rules(spark, m) -> dict[str, Rules]:
@@ -83,7 +102,7 @@ def _rules(spark, m) -> dict[str, Rules]:
 
 
 def v20_master_rules(spark, sf_dir):
-    """The verdict on every submitted master table."""
+    """V20-V27, V29-V31, V35 and the status checks of V38 and V39: the verdict on every submitted master table."""
     m = Model(spark, sf_dir)
     rules, out = _rules(spark, m), None
     for name in SUBMITTED:
@@ -95,15 +114,51 @@ def v20_master_rules(spark, sf_dir):
     return out
 
 
+def _rules_more(spark, m) -> dict[str, Rules]:
+    programs = spark.createDataFrame(PROGRAM_ROWS, "name string, short string").select("name")
+    business = Found(["brand", "product_line"], spark.createDataFrame(BUSINESS, "brand string, product_line string"), True)
+    short = F.length(F.rtrim("name")) < 2
+    status = ~F.upper("status").isin("ACTIVE", "INACTIVE")
+    return {
+        "prebuild": Rules(["region", "mtl", "size", "factory", "buying_program"], ["region", "mtl", "size", "factory", "buying_program"],
+                          [Found(["region"], m.customer.select("region")), Found(["factory"], m.factory.select("short_name")), Found(["buying_program"], programs),
+                           Found(["mtl", "size"], m.product.select("material_id", "production_lt"), True)]),
+        "construction_type": Rules(["name"], ["name"], [], [short]),
+        "demand_category": Rules(["name"], ["name"], [], [short]),
+        "buying_program": Rules(["brand", "product_line", "name"], ["brand", "product_line", "category", "name"], [business], [short]),
+        "factory_business": Rules(["brand", "product_line", "short_name"], ["brand", "product_line", "country", "short_name", "status"],
+                                  [business, Found(["country"], m.factory.select("country_code"))], [status]),
+        "customer_country": Rules(["name"], ["name"], [Found(["country"], m.customer.select("dim_location_id"))], [status]),
+    }
+
+
+def v28_master_rules(spark, sf_dir):
+    """V28 prebuild, V37 names and the program's business, V38 the factory's business, V39 the customer's country."""
+    m = Model(spark, sf_dir)
+    rules, out = _rules_more(spark, m), None
+    for name in SUBMITTED_MORE:
+        v = master.verdict(_submitted(spark, m, name), rules[name], name in SYNCED_MORE).select(F.lit(name).alias("master_table"), "*")
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+def v39_customer_location(spark, sf_dir):
+    """Customers of known countries with their location's id, counted by id."""
+    m = Model(spark, sf_dir)
+    known = m.customer.select("dim_location_id", F.upper(F.col("dim_location_id").cast("string")).alias("known")).distinct()
+    sent = _submitted(spark, m, "customer_country").join(known, F.upper("country") == F.col("known"))
+    return sent.groupBy("dim_location_id").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("first_name"))
+
+
 _IN = {"product": "product", "factory": "factory", "customer": "customer"}
 
 
 def _twin(name, key, label, bad, expand=False):
-    src = SUBMITTED[name].format(**_IN)
+    src = (SUBMITTED | SUBMITTED_MORE)[name].format(**_IN)
     if expand:
         src = f"SELECT * REPLACE (CASE trim(buying_program) WHEN 'BB' THEN 'Bulk Buy' WHEN 'RQT' THEN 'Retail Quick Turn' ELSE buying_program END AS buying_program) FROM ({src}) e"
     text = " || ' / ' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in label)
-    dup = "FALSE" if name in SYNCED else "n_keys < n_rows"
+    dup = "FALSE" if name in SYNCED + SYNCED_MORE else "n_keys < n_rows"
     return f"""SELECT '{name}' AS master_table, n_rows, n_keys, n_bad, first_bad,
       CASE WHEN n_rows = 0 THEN 'Table is empty.' WHEN n_bad > 0 THEN 'Row ' || first_bad || ' is invalid.'
            WHEN {dup} THEN 'Duplicated {'/'.join(key)} combinations.' ELSE 'ok' END AS outcome
@@ -142,6 +197,23 @@ _TWINS = [
     _twin("customer", ["name"], ["name"], "upper(s.status) NOT IN ('ACTIVE', 'INACTIVE')"),
     _twin("empty", ["mtl", "factory"], ["mtl", "factory"], f"{_MTL} OR {_FTY}"),
 ]
+_BUSINESS = "(s.brand <> 'DEMAND' OR s.product_line <> 'FOOTWEAR')"
+_TWINS_MORE = [
+    _twin("prebuild", ["region", "mtl", "size", "factory", "buying_program"], ["region", "mtl", "size", "factory", "buying_program"],
+          f"""upper(s.region) NOT IN (SELECT upper(region) FROM customer) OR {_FTY} OR upper(s.buying_program) NOT IN ({_PROGRAMS})
+              OR NOT EXISTS (SELECT 1 FROM product p WHERE p.material_id = s.mtl AND CAST(p.production_lt AS VARCHAR) = s.size)"""),
+    _twin("construction_type", ["name"], ["name"], "length(rtrim(s.name)) < 2"),
+    _twin("demand_category", ["name"], ["name"], "length(rtrim(s.name)) < 2"),
+    _twin("buying_program", ["brand", "product_line", "name"], ["brand", "product_line", "category", "name"], f"{_BUSINESS} OR length(rtrim(s.name)) < 2"),
+    _twin("factory_business", ["brand", "product_line", "short_name"], ["brand", "product_line", "country", "short_name", "status"],
+          f"{_BUSINESS} OR upper(s.country) NOT IN (SELECT upper(country_code) FROM factory) OR upper(s.status) NOT IN ('ACTIVE', 'INACTIVE')"),
+    _twin("customer_country", ["name"], ["name"],
+          "s.country NOT IN (SELECT CAST(dim_location_id AS VARCHAR) FROM customer) OR upper(s.status) NOT IN ('ACTIVE', 'INACTIVE')"),
+]
+query("v28_master_rules", sql("\nUNION ALL\n".join(_TWINS_MORE), "product", "factory", "customer"))(v28_master_rules)
+query("v39_customer_location", sql("""
+SELECT dim_location_id, count(*) AS n, min(customer_name) AS first_name
+FROM customer WHERE dim_customer_id % 40 <> 6 GROUP BY 1""", "customer"))(v39_customer_location)
 query("v20_master_rules", sql("\nUNION ALL\n".join(_TWINS), "product", "factory", "customer"))(v20_master_rules)
 
 
