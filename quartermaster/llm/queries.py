@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quartermaster.llm import ann, bpe, fingerprints, html_extract, packing, quality, simhash, token_counts, toxicity, url_filter
+from quartermaster.llm import (alignment, ann, bpe, fingerprints, html_extract, language_id, packing, quality, simhash, token_counts, toxicity,
+                               url_filter, whitening)
 from quartermaster.llm.common import prepare, table
 
 URL_RULES = tuple(url_filter.HostRule(v, t) for v, t in (
@@ -72,9 +73,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every usable vector."""
+    prepare(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligns two tokenizers' tokens of every document and weighs their links by corpus-wide counts."""
+    prepare(spark)
+    return alignment.link_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicts every document's language with piece probabilities learnt outside the held-out fold."""
+    prepare(spark)
+    return language_id.judge(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_html_text, op3_byte_bpe, op4_nearest_neighbours, op5_url_filter, op6_simhash, op7_best_fit_packing,
-    op8_document_fingerprints, op9_token_counts, op10_toxicity)}
+    op8_document_fingerprints, op9_token_counts, op10_toxicity, op11_embedding_whitening, op12_token_alignment, op13_language_id)}
 
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _PATTERN_ROWS = ", ".join(f"({i}, '{p.verdict}', '{p.pattern}', {list(p.literals)})" for i, p in enumerate(url_filter.PATTERNS))
