@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,10 +39,12 @@ from quartermaster.session import scratch_path
 
 #: Merged ends in a piece.
 PIECE_ENDS = 1 << 16
+#: New segments that are encoded as one text.
+JOINED = 32
 #: Characters of segments that a worker remembers.
-CACHE_CHARS = 20_000_000
+CACHE_CHARS = 2_000_000
 #: Code points of a block of documents.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 
 
 @dataclass
@@ -81,22 +84,30 @@ class PieceTokenizer:
             self.cache.clear()
             self.held, new = 0, list(segments)
         self.held += sum(map(len, new))
+        # joined, they are texts of just these segments, but for those of spaces alone
+        apart = [s for s in new if "▁" in s or not s.strip(" ")]
+        new = list(set(new).difference(apart))
+        joined = ["".join(new[k:k + JOINED])[1:] for k in range(0, len(new), JOINED)]
+        ids = np.fromiter(chain.from_iterable(self.model.encode(joined, num_threads=1) if joined else ()), np.int64)
+        if b"".join(map(self.raw.__getitem__, ids.tolist())) == "".join(new).encode():
+            ends = np.append(0, np.cumsum(self.lengths[ids]))
+            cuts = 4 * np.searchsorted(ends, np.cumsum([len(s.encode()) for s in new]))
+            data = ids.astype("<u4").tobytes()
+            self.cache.update(zip(new, (data[x:y] for x, y in zip([0, *cuts.tolist()], cuts.tolist()))))
+        else:
+            apart += new
         # the model adds the first space itself, but to an empty string
-        for s, ids in zip(new, self.model.encode([s[1:] for s in new], num_threads=1)):
-            ids = ids if len(s) > 1 else [self.model.piece_to_id("▁")]
-            same = b"".join(map(self.raw.__getitem__, ids)) == s.encode()
-            self.cache[s] = np.array(ids, "<u4").tobytes() if same else None
+        for s, own in zip(apart, self.model.encode([s[1:] for s in apart], num_threads=1) if apart else ()):
+            own = own if len(s) > 1 else [self.model.piece_to_id("▁")]
+            same = b"".join(map(self.raw.__getitem__, own)) == s.encode()
+            self.cache[s] = np.array(own, "<u4").tobytes() if same else None
 
     def ids(self, spaced: list[str]) -> list[np.ndarray | None]:
         """The ids of each text, given with a space before it; None where they do not give the text's bytes back."""
-        out = []
-        for t in spaced:
-            segments = self.segment(t)
-            try:
-                found = list(map(self.cache.__getitem__, segments))
-            except KeyError:
-                self.learn(set(segments))
-                found = list(map(self.cache.__getitem__, segments))
+        out, segments = [], list(map(self.segment, spaced))
+        self.learn(set().union(*segments))
+        for own in segments:
+            found = list(map(self.cache.__getitem__, own))
             out.append(None if None in found else np.frombuffer(b"".join(found), "<u4"))
         return out
 
@@ -169,9 +180,9 @@ def tokens(texts: list[str], a_path: str, b_path: str) -> tuple[np.ndarray, Side
     return whole, side(a, e.lengths), side(b, pieces.lengths)
 
 
-def group_digests(a: Side, b: Side, o: Overlaps) -> list[str]:
-    """SHA-256 of each text's groups, as ``a1,a2|b1;a3|b2,b3``."""
-    written = written_ids(int(max(a.ids.max(initial=0), b.ids.max(initial=0))) + 1)
+def group_digests(a: Side, b: Side, o: Overlaps, size: int) -> list[str]:
+    """SHA-256 of each text's groups, as ``a1,a2|b1;a3|b2,b3``; ids are below ``size``."""
+    written = written_ids(size)
     behind = np.append(0, o.right_last + 1)
     ahead = o.left_last + 1
     seq = np.empty(len(a.ids) + len(b.ids), np.int64)
@@ -264,8 +275,8 @@ def _block_row(block: int, ids: list, texts: list[str], a_path: str, b_path: str
     order = np.argsort(held)
     held, times = held[order], np.bincount(of_held, minlength=len(held))[order]
     held_doc, held_slot = held // size, held % size
-    digests = [""] * n
-    for d, x in zip(doc.tolist(), group_digests(a, b, o)):
+    digests, ids_below = [""] * n, max(len(encoder(a_path).lengths), len(piece_tokenizer(b_path).raw))
+    for d, x in zip(doc.tolist(), group_digests(a, b, o, ids_below)):
         digests[d] = x
     return {"block": block, "ids": ids, "n_a": per_doc(a.counts), "n_b": per_doc(b.counts),
             "n_groups": per_doc(np.bincount(of_token[o.left_last], minlength=len(doc))),
