@@ -6,7 +6,8 @@ cursors of the original become column expressions evaluated inside the scan stag
 
 Constrained pass: fill is computed from the *unconstrained* factory and never moves during the pass,
 so every demand unit decides independently; the only order dependence -- several units writing the
-same facts -- is resolved by an aggregate that keeps the last unit in processing order (X41).
+same facts -- is resolved by an aggregate that keeps the last unit in processing order (X41).  Later loops
+carry each write-back key's log and factory on, over the keys that still hold a unit with a rule.
 Shuffles: one for the demand units, one for the fill per (allocation group, week, construction type),
 one for capacity; the three small aggregates are joined to the units, and the decisions are joined
 back to the facts on the write-back key.
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from . import rules
 from .lookups import scalar
 
@@ -46,13 +48,11 @@ def allocation_features(demand: DataFrame, product: DataFrame, customer: DataFra
     prio = (priority.join(f1, priority.dim_factory_id_1 == f1.p1_id, "left")
                     .join(f2, priority.dim_factory_id_2 == f2.p2_id, "left")
                     .select("dim_product_id", "p1_id", "p1", "c1", "p2_id", "p2", "c2"))
-    names = factory.select(F.col("short_name").alias("_vname"), F.col("dim_factory_id").alias("_vid"))
     qt = (fty_qt.groupBy("material_id").agg(F.max("factory_short_name").alias("qt_vendor"))
-                .join(names.withColumnRenamed("_vname", "qt_vendor").withColumnRenamed("_vid", "qt_vendor_id"), "qt_vendor", "left"))
+                .join(factory_names(factory, "qt_vendor", "qt_vendor_id"), "qt_vendor", "left"))
     rqt = (retail_qt.groupBy("material_id", "region", F.col("sold_to_party").alias("party"))
                     .agg(F.max("factory_short_name").alias("rqt_vendor"))
-                    .join(names.withColumnRenamed("_vname", "rqt_vendor").withColumnRenamed("_vid", "rqt_vendor_id"),
-                          "rqt_vendor", "left"))
+                    .join(factory_names(factory, "rqt_vendor", "rqt_vendor_id"), "rqt_vendor", "left"))
     d = (demand.join(p, "dim_product_id", "left")
                .join(c, "dim_customer_id", "left")
                .join(prio, "dim_product_id", "left")
@@ -121,13 +121,14 @@ UNIT_ATTRS = ["party", "region", "clk", "dtp", "sjd", "flex", "n_src", "p1", "p2
               "rqt_vendor", "rqt_vendor_id", "id_clk", "id_dtc", "id_dtp", "id_sjd", "id_sjv", "id_hsc"]
 
 
-def allocate_constrained(allocated: DataFrame, factory: DataFrame, capacity: DataFrame, calendar: DataFrame,
-                         retail_qt: DataFrame) -> DataFrame:
-    """X20-X41 (loop 1): re-route demand units whose factory is over capacity in their week.
+def factory_names(factory: DataFrame, name: str, id_: str) -> DataFrame:
+    """One id for each short name, so that a name that repeats cannot multiply facts."""
+    return factory.groupBy(F.col("short_name").alias(name)).agg(F.max("dim_factory_id").alias(id_))
 
-    ``allocated`` is the output of ``allocate_unconstrained`` (features included).  Returns it with
-    ``dim_factory_id_original_constrained``, ``allocation_logic_constrained`` and the final
-    ``dim_factory_id``."""
+
+def demand_units(allocated: DataFrame, factory: DataFrame, capacity: DataFrame, calendar: DataFrame, retail_qt: DataFrame):
+    """(facts, units, load): the facts with their week and quick-turn vendor; X20 demand units with the fill, capacity and
+    overload of their factory (X22, X23, X25); and a function that adds another factory's fill and capacity to units."""
     cal = F.broadcast(calendar.select(F.col("id").alias("_cal_id"), "year_cw_accounting"))  # bounded by parameters
     start = F.year("release_date") * 10000 + F.month("release_date") * 100 + 1
     rqt_any = (retail_qt.groupBy("material_id").agg(F.max("factory_short_name").alias("rqt_vendor_m"))
@@ -137,25 +138,21 @@ def allocate_constrained(allocated: DataFrame, factory: DataFrame, capacity: Dat
                      .withColumn("in_rqt", F.coalesce("in_rqt", F.lit(False)))
                      # the constrained rules read the material-level quick-turn vendor
                      .withColumn("rqt_vendor", F.col("rqt_vendor_m")).drop("rqt_vendor_m", "rqt_vendor_id"))
-    names = factory.select(F.col("short_name").alias("rqt_vendor"), F.col("dim_factory_id").alias("rqt_vendor_id"))
-    base = base.join(names, "rqt_vendor", "left")
-    in_scope = F.col("demand_category").isin("Forecast", "Need to Buy") & (F.col("dim_date_id") >= start)
-
-    cand = base.filter(in_scope)
-    # X20 demand units (partial aggregation: a hot key is combined map-side)
+    base = base.join(factory_names(factory, "rqt_vendor", "rqt_vendor_id"), "rqt_vendor", "left")
+    cand = base.filter(F.col("demand_category").isin("Forecast", "Need to Buy") & (F.col("dim_date_id") >= start))
+    # partial aggregation: a hot key is combined map-side
     units = cand.groupBy(*UNIT_KEYS).agg(F.sum("quantity").alias("quantity"), *[F.max(a).alias(a) for a in UNIT_ATTRS])
     groups = factory.select(F.col("dim_factory_id").alias("_fid"), "allocation_group", F.col("short_name").alias("_fname"),
                             F.col("factory_region").alias("_fregion"))
-    # X22 fill per allocation group, week and construction type (from the unconstrained factory)
+    # fill per allocation group, week and construction type, from the unconstrained factory: it never moves
     fill = (cand.join(groups, cand.dim_factory_id_original_unconstrained == groups._fid)
                 .groupBy("allocation_group", "year_cw_accounting", "construction_type")
                 .agg(F.sum("quantity").alias("fill")))
-    # X23 available capacity per factory, week and construction type
     cap = (capacity.join(cal, capacity.week_date_id == cal._cal_id)
                    .groupBy("dim_factory_id", "year_cw_accounting", "construction_type")
                    .agg(F.sum("capacity_available_weekly").alias("cap")))
 
-    def with_load(df: DataFrame, fid_col: str, prefix: str) -> DataFrame:
+    def load(df: DataFrame, fid_col: str, prefix: str) -> DataFrame:
         g = groups.select(F.col("_fid").alias(f"{prefix}_fid"), F.col("allocation_group").alias(f"{prefix}_group"),
                           F.col("_fname").alias(f"{prefix}_name"), F.col("_fregion").alias(f"{prefix}_region"))
         fl = fill.select(F.col("allocation_group").alias(f"{prefix}_group"), "year_cw_accounting", "construction_type",
@@ -166,30 +163,82 @@ def allocate_constrained(allocated: DataFrame, factory: DataFrame, capacity: Dat
                   .join(fl, [f"{prefix}_group", "year_cw_accounting", "construction_type"], "left")
                   .join(cp, [fid_col, "year_cw_accounting", "construction_type"], "left"))
 
-    u = with_load(units, "dim_factory_id_original_unconstrained", "u").withColumn("fname", F.col("u_name")).withColumn("f_region", F.col("u_region"))
-    status = _fill_status(F.col("u_name"), F.col("year_cw_accounting"), F.col("construction_type"), F.col("u_fill"), F.col("u_cap"))
-    overload = F.coalesce(F.col("u_fill") > F.col("u_cap"), F.lit(False))
-    tfid, tlog = rules.constrained_target()
-    u = (u.withColumn("_status", status).withColumn("_overload", overload)
-          .withColumn("target_id", F.when(F.col("_overload"), F.expr(tfid)).cast("bigint"))
-          .withColumn("_log0", F.when(F.col("_overload"), F.concat(F.lit("[OVERLOAD] "), F.col("_status"), F.expr(tlog)))
-                                .otherwise(F.concat(F.lit("[AVAILABLE] "), F.col("_status")))))
+    u = load(units, "dim_factory_id_original_unconstrained", "u")
+    u = (u.withColumn("fname", F.col("u_name")).withColumn("f_region", F.col("u_region"))
+          .withColumn("_overload", F.coalesce(F.col("u_fill") > F.col("u_cap"), F.lit(False))))
+    u = u.withColumns({n: F.expr(e) for n, e in rules.unit_features().items()})
+    return base, u.withColumn("_ruled", F.col("_overload") & F.coalesce(F.col("fname").isin(rules.SCENARIO_B_FACTORIES), F.lit(False))), load
+
+
+def constrain_once(units: DataFrame, load, loop: int) -> DataFrame:
+    """One loop over ``units``, which hold the state of their write-back key (``_moved``, ``_carried``) from the loop before:
+    the keys' new state.
+
+    A unit's target is what its rule sets, else the factory it has now; a unit without a rule only writes its log."""
+    now = F.coalesce("_moved", "dim_factory_id_original_unconstrained")
+    was_set, fid, log = (F.expr(e) for e in rules.constrained_target(loop))
+    units = units.withColumn("_tid", F.when(F.col("_ruled"), F.when(was_set, fid).otherwise(now)).cast("bigint"))
+    not_found = F.when(F.col("_tid").isNull(), F.lit(" => Not Found")).otherwise("")
+    if loop == 1:
+        status = _fill_status(F.col("u_name"), F.col("year_cw_accounting"), F.col("construction_type"), F.col("u_fill"), F.col("u_cap"))
+        before = F.when(F.col("_ruled"), F.concat(F.lit("[OVERLOAD] "), status, F.lit(" => "), "fname", F.lit(" scenario B"))).when(
+            F.col("_overload"), F.concat(F.lit("[OVERLOAD] "), status, F.lit(" => No allocation logic found for "), "fname")).otherwise(
+            F.concat(F.lit("[AVAILABLE] "), status))
+    else:
+        before = F.col("_carried")
+    u = units.withColumn("_log0", F.when(F.col("_ruled"), F.concat(before, log, not_found)).otherwise(before))
     # X40 accept test on the target factory's own fill and capacity
-    t = with_load(u.withColumnRenamed("target_id", "_tid"), "_tid", "t")
+    t = load(u, "_tid", "t")
     moves = F.col("_tid").isNotNull() & (F.col("_tid") != F.col("dim_factory_id_original_unconstrained"))
-    accept = F.coalesce((F.col("t_fill") + F.col("quantity")) < F.col("t_cap"), F.lit(False)) | (F.col("_tid") == F.col("id_sjv"))
-    t = (t.withColumn("_accepted", moves & F.coalesce(accept, F.lit(False)))
-          .withColumn("_log", F.when(moves & ~F.col("_accepted"), F.concat(F.col("_log0"), F.lit(" => Target factory full")))
-                               .otherwise(F.col("_log0"))))
-    # X41 last writer per write-back key: processing order is week asc, quantity desc (ties: factory id
-    # asc), so the last unit of a key is its smallest quantity, then its largest factory id
-    order = F.struct(F.col("quantity"), (-F.col("dim_factory_id_original_unconstrained")).alias("neg_fid"))
-    last_log = t.groupBy(*WRITE_KEYS).agg(F.min_by("_log", order).alias("allocation_logic_constrained"))
-    last_move = (t.filter(F.col("_accepted")).groupBy(*WRITE_KEYS)
-                  .agg(F.min_by("_tid", order).alias("_moved_to")))
-    decided = last_log.join(last_move, WRITE_KEYS, "left")
+    accept = F.coalesce((F.col("t_fill") + F.col("quantity")) < F.col("t_cap"), F.lit(False)) | F.coalesce(F.col("_tid") == F.col("id_sjv"), F.lit(False))
+    t = t.withColumn("_log", F.when(moves & ~accept, F.concat("_log0", F.lit(" => Target factory full"))).otherwise(F.col("_log0")))
+    # X41 last writer per write-back key: processing order is week asc, quantity desc (ties: factory id, complexity,
+    # construction type asc), so the last unit of a key is its smallest quantity, then the largest of the rest
+    texts = [F.when(F.col(c).isNull(), F.lit(1)).otherwise(0).alias(f"no_{c}") for c in ("style_complexity", "construction_type")]
+    last = F.struct(-F.col("quantity"), "dim_factory_id_original_unconstrained", *(-x for x in texts), "style_complexity", "construction_type")
+    return t.groupBy(*WRITE_KEYS).agg(
+        F.max_by("_log", last).alias("_carried"),
+        F.coalesce(F.max_by("_tid", F.when(moves & accept, last)), F.max("_moved")).alias("_moved"),
+        F.max(F.col("_ruled").cast("int")).alias("_open"))
+
+
+def constrained_state(units: DataFrame, load, max_loop: int = 1) -> DataFrame:
+    """(write-back key, _carried log, _moved factory, _loops run) after up to five loops.
+
+    Only keys with a ruled unit can change after the first loop, so the others leave the frontier there; each loop's
+    state is checkpointed."""
+    if not 1 <= max_loop <= 5:
+        raise ValueError("the rules have five loops")
+    ensure_checkpoint_dir(units.sparkSession)
+    if max_loop > 1:
+        units = units.checkpoint()
+    fresh = units.withColumn("_moved", F.lit(None).cast("bigint")).withColumn("_carried", F.lit(None).cast("string"))
+    state = constrain_once(fresh, load, 1)
+    if max_loop == 1:
+        return state.select(*WRITE_KEYS, "_carried", "_moved", F.lit(1).alias("_loops"))
+    state = state.checkpoint()
+    closed, state = state.filter("_open = 0"), state.filter("_open = 1")
+    for loop in range(2, max_loop + 1):
+        keys = state.select(*(F.col(k).alias(f"_k_{k}") for k in WRITE_KEYS), "_carried", "_moved")
+        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in WRITE_KEYS]
+        frontier = units.join(keys, same).drop(*(f"_k_{k}" for k in WRITE_KEYS))
+        state = constrain_once(frontier, load, loop).checkpoint()
+    return closed.select(*WRITE_KEYS, "_carried", "_moved", F.lit(1).alias("_loops")).union(
+        state.select(*WRITE_KEYS, "_carried", "_moved", F.lit(max_loop)))
+
+
+def allocate_constrained(allocated: DataFrame, factory: DataFrame, capacity: DataFrame, calendar: DataFrame,
+                         retail_qt: DataFrame, max_loop: int = 1) -> DataFrame:
+    """Re-route demand units whose factory is over capacity in their week, in up to ``max_loop`` loops.
+
+    ``allocated`` is the output of ``allocate_unconstrained`` (features included).  Returns it with
+    ``dim_factory_id_original_constrained``, ``allocation_logic_constrained`` and the final
+    ``dim_factory_id``."""
+    base, units, load = demand_units(allocated, factory, capacity, calendar, retail_qt)
+    decided = constrained_state(units, load, max_loop).select(
+        *WRITE_KEYS, F.col("_carried").alias("allocation_logic_constrained"), F.col("_moved").alias("_moved_to"))
     out = base.join(decided.withColumn("_in", F.lit(True)), WRITE_KEYS, "left")
-    constrained = F.when(F.col("_moved_to").isNotNull(), F.col("_moved_to")).otherwise(F.col("dim_factory_id_original_unconstrained"))
+    constrained = F.coalesce("_moved_to", "dim_factory_id_original_unconstrained")
     return (out.withColumn("dim_factory_id_original_constrained", constrained)
                .withColumn("allocation_logic_constrained", F.when(F.col("_in"), F.col("allocation_logic_constrained")))
                .withColumn("dim_factory_id", F.col("dim_factory_id_original_constrained"))

@@ -330,72 +330,136 @@ def _inlist(xs: list[str]) -> str:
     return "party IN (" + ", ".join(_txt(x) for x in xs) + ")"
 
 
-def _rqt_branch() -> tuple[str, str]:
-    """X31 retail quick-turn branch: (factory id, log) for a material of the retail quick-turn helper, by the region of the
-    overloaded factory (``f_region``)."""
-    fid = ("CASE WHEN f_region = 'EMEA' THEN CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN id_dtc ELSE rqt_vendor_id END "
-           "WHEN f_region IN ('NORA', 'CASA') THEN CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN id_sjv ELSE rqt_vendor_id END "
-           "WHEN f_region = 'APAC' THEN CASE WHEN party ILIKE 'China%' THEN id_hsc ELSE rqt_vendor_id END END")
-    log = (f"{SEP} || 'RQT MTL' || CASE "
-           f"WHEN f_region = 'EMEA' THEN {SEP} || CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN 'DTC' ELSE rqt_vendor END "
-           f"WHEN f_region IN ('NORA', 'CASA') THEN {SEP} || CASE WHEN rqt_vendor IN ('DTC', 'SJV') THEN 'SJV' ELSE rqt_vendor END "
-           f"WHEN f_region = 'APAC' THEN {SEP} || CASE WHEN party ILIKE 'China%' THEN 'HSC' ELSE rqt_vendor END "
-           f"ELSE '' END")
-    return fid, log
-
-
-def _dual_second_first(code: str) -> tuple[str, str]:
-    fid = f"CASE WHEN {DUAL} THEN coalesce(p2_id, p1_id) END"
-    log = (f"CASE WHEN {DUAL} THEN {_log(_txt('Dual Source'), _txt('2nd priority'))} || "
-           f"CASE WHEN p2 IS NOT NULL THEN {SEP} || p2 "
-           f"ELSE {_log(_txt('Not found'), _txt('1st priority'))} || coalesce({SEP} || p1, {_log(_txt('Not found'), _txt(code))}) END "
-           f"ELSE {SEP} || {_txt(code)} END")
-    return fid, log
-
-
-def scenario_b(code: str) -> tuple[str, str]:
-    """(target factory id, log) of the loop-1 rule for an overloaded factory ``code``."""
-    loop = _log(_txt("[loop: 1]"))
-    if code == "CLK":
-        fid = (f"CASE WHEN {_inlist(NON_DUTY_CLK)} AND {DUAL} THEN coalesce(p2_id, p1_id) END")
-        log = (f"{loop} || CASE WHEN {_inlist(NON_DUTY_CLK)} THEN {SEP} || 'Non-duty Beneficial: ' || party || "
-               f"CASE WHEN {DUAL} THEN {_log(_txt('Dual Source'))} || CASE WHEN p2 IS NOT NULL THEN {SEP} || '2nd priority' || p2 "
-               f"ELSE {_log(_txt('2nd priority not found'), _txt('1st priority'))} || coalesce({SEP} || p1, '') END ELSE '' END "
-               f"ELSE {_log(_txt('not Non-Duty Beneficial'))} END")
-        return fid, log
-    if code in ("DTC", "FSC", "HSC", "ICC"):
-        dfid, dlog = _dual_second_first(code)
-        fid = f"CASE WHEN {_inlist(NON_DUTY_OTHERS)} THEN CASE WHEN flex THEN id_sjv ELSE {dfid} END END"
-        log = (f"{loop} || CASE WHEN {_inlist(NON_DUTY_OTHERS)} THEN {SEP} || 'Non-duty Beneficial: ' || party || "
-               f"CASE WHEN flex THEN {_log(_txt('Flex'), _txt('SJV'))} ELSE {_log(_txt('Not Flex'))} || {dlog} END ELSE '' END")
-        return fid, log
-    if code == "DTP":
-        dfid, dlog = _dual_second_first(code)
-        fid = f"CASE WHEN {_inlist(DUTY_DTP)} THEN CASE WHEN clk = 1 THEN id_clk ELSE {dfid} END END"
-        log = (f"{loop} || CASE WHEN {_inlist(DUTY_DTP)} THEN {SEP} || 'Duty Beneficial: ' || party || "
-               f"CASE WHEN clk = 1 THEN {_log(_txt('CLK MTL'))} ELSE {dlog} END ELSE '' END")
-        return fid, log
-    rfid, rlog = _rqt_branch()
-    if code == "SJD":
-        fid = f"CASE WHEN party = 'US Direct' THEN CASE WHEN in_rqt THEN {rfid} ELSE id_sjv END END"
-        log = (f"{loop} || CASE WHEN party = 'US Direct' THEN {SEP} || 'Duty Beneficial: ' || party || "
-               f"CASE WHEN in_rqt THEN {rlog} ELSE {_log(_txt('not RQT MTL'), _txt('SJV'))} END ELSE '' END")
-        log = f"{log} || CASE WHEN ({fid}) IS NULL THEN {_log(_txt('Not Found'))} ELSE '' END"
-        return fid, log
-    if code == "SJV":
-        fid = (f"CASE WHEN party = 'Chile DC' THEN CASE WHEN in_rqt THEN {rfid} "
-               f"WHEN flex THEN CASE WHEN p1 = 'SJV' THEN id_hsc ELSE p1_id END END END")
-        log = (f"{loop} || CASE WHEN party = 'Chile DC' THEN {SEP} || 'Non-duty Beneficial: ' || party || "
-               f"CASE WHEN in_rqt THEN {rlog} WHEN flex THEN {_log(_txt('Flex'))} || "
-               f"CASE WHEN p1 = 'SJV' THEN {SEP} || 'HSC' ELSE coalesce({SEP} || p1, '') END ELSE '' END ELSE '' END")
-        return fid, log
-    raise KeyError(code)
-
-
-def constrained_target() -> tuple[str, str]:
-    """(target id, rule log) for an overloaded unit, dispatched on its factory's short name."""
-    fid = "CASE " + " ".join(f"WHEN fname = {_txt(c)} THEN {scenario_b(c)[0]}" for c in SCENARIO_B_FACTORIES) + " END"
-    log = ("CASE " + " ".join(f"WHEN fname = {_txt(c)} THEN {SEP} || fname || ' scenario B' || {scenario_b(c)[1]}"
-                              for c in SCENARIO_B_FACTORIES)
-           + f" ELSE {_log(_txt('No allocation logic'))} END")
-    return fid, log
+# A rule is a tree over the features of a unit: a leaf logs and may set the target (to no factory, if that is not found),
+# ``when`` branches, ``both`` runs one tree after the other.  Trees compile to three SQL texts: whether the target was set,
+# its id, and the log.
+def leaf(*log: str, to: str | None = None) -> tuple[str, str, str]:
+    return ("TRUE" if to else "FALSE"), to or "CAST(NULL AS BIGINT)", _log(*log) if log else "''"
+
+
+def when(*branches, otherwise=None) -> tuple[str, str, str]:
+    """``branches``: (condition, tree) pairs, the first that holds runs."""
+    last = otherwise or leaf()
+    return tuple("CASE " + " ".join(f"WHEN {c} THEN {t[i]}" for c, t in branches) + f" ELSE {last[i]} END" for i in range(3))
+
+
+def both(first, then) -> tuple[str, str, str]:
+    return (f"({first[0]} OR {then[0]})", f"CASE WHEN {then[0]} THEN {then[1]} ELSE {first[1]} END", f"{first[2]} || {then[2]}")
+
+
+def _party(*names: str) -> str:
+    return "coalesce(" + _inlist(list(names)) + ", FALSE)"
+
+
+def unit_features() -> dict[str, str]:
+    """Columns that the rules read several times: dual source (X30), Flex, and the quick-turn branch."""
+    was_set, fid, log = quick_turn()
+    return {"_dual": f"coalesce({DUAL}, FALSE)", "_flex": "coalesce(flex, FALSE)", "_q_set": was_set, "_q_id": fid, "_q_log": log}
+
+
+QUICK_TURN = ("_q_set", "_q_id", "_q_log")
+
+
+def quick_turn():
+    """The vendor of a retail quick-turn material, by the region of the overloaded factory (``f_region``)."""
+    vendor = leaf("rqt_vendor", to="rqt_vendor_id")
+    pooled = "rqt_vendor IN ('DTC', 'SJV')"
+    return both(leaf(_txt("RQT MTL")), when(
+        ("f_region = 'EMEA'", when((pooled, leaf(_txt("DTC"), to="id_dtc")), otherwise=vendor)),
+        ("f_region IN ('NORA', 'CASA')", when((pooled, leaf(_txt("SJV"), to="id_sjv")), otherwise=vendor)),
+        ("f_region = 'APAC'", when(("party ILIKE 'China%'", leaf(_txt("HSC"), to="id_hsc")), otherwise=vendor))))
+
+
+def _dual(code: str):
+    """The second source, else the first, else the factory stays."""
+    log = _txt("Dual Source"), _txt("2nd priority")
+    missing = *log, _txt("Not found"), _txt("1st priority")
+    return when(("p2 IS NOT NULL", leaf(*log, "p2", to="p2_id")), ("p1 IS NOT NULL", leaf(*missing, "p1", to="p1_id")),
+                otherwise=leaf(*missing, _txt("Not found"), _txt(code)))
+
+
+def _clk_dual(*before: str):
+    """CLK's own wording of it; without either source the target is no factory."""
+    first = *before, _txt("2nd priority not found"), _txt("1st priority")
+    return when(("p2 IS NOT NULL", leaf(*before, "'2nd priority' || p2", to="p2_id")), ("p1 IS NOT NULL", leaf(*first, "p1", to="p1_id")),
+                otherwise=leaf(*first, to="p1_id"))
+
+
+def _first(*before: str):
+    """The first source; no factory without one."""
+    return when(("p1 IS NOT NULL", leaf(*before, "p1", to="p1_id")), otherwise=leaf(*before, to="p1_id"))
+
+
+def _named(kind: str, tree):
+    return both(leaf(f"'{kind}: ' || party"), tree)
+
+
+def _stay_or_first(code: str, to: str):
+    """Loop 2 of DTC and ICC: a Flex unit whose first source is another factory goes to ``to``."""
+    return when(("in_rqt", QUICK_TURN),
+                (f"_flex AND coalesce(p1 = {_txt(code)}, FALSE)", leaf(_txt("Flex"), _txt(f"1st priority = {code}"), _txt(code))),
+                ("_flex", leaf(_txt("Flex"), _txt(f"1st priority = not {code}"), _txt("SJV"), to=to)),
+                otherwise=leaf(_txt("Not Flex"), _txt(code)))
+
+
+def _sjv(loop: int):
+    """SJV: the quick-turn vendor is named first, then the sources decide."""
+    kind = "Duty Beneficial" if loop == 5 else "Non-duty Beneficial"
+    not_flex = _first(_txt("Not Flex"), _txt("1st priority"))
+    if loop <= 2:
+        flex = both(when(("p1 = 'SJV'", leaf(_txt("1st priority = SJV"), _txt("HSC"), to="id_hsc")),
+                         otherwise=_first(_txt("1st priority = not SJV"), _txt("1st priority"))), leaf(_txt("Flex"), _txt("SJV")))
+    elif loop == 5:
+        flex = leaf(_txt("Flex"), _txt("SJV"))
+    else:
+        flex = both(leaf(_txt("Flex")), _dual("SJV"))
+    parties = {1: ("Chile DC",), 2: ("China DC",), 3: ("India DC",), 4: ("EU DC", "EU Crossdock"), 5: ("Korea DC", "Korea Direct")}[loop]
+    return when((_party(*parties), _named(kind, both(when(("in_rqt", QUICK_TURN)), when(("_flex", flex), otherwise=not_flex)))))
+
+
+def scenario_b(code: str, loop: int = 1) -> tuple[str, str, str]:
+    """X32-X39, the rule of an overloaded factory ``code`` in a loop: (whether it set the target, target id, log)."""
+    second = ("Chile DC", "China DC")
+    if code == "CLK" and loop == 1:
+        tree = when((_party(*NON_DUTY_CLK), _named("Non-duty Beneficial", when(("_dual", _clk_dual(_txt("Dual Source")))))),
+                    otherwise=leaf(_txt("not Non-Duty Beneficial")))
+    elif code == "CLK" and loop == 2:
+        tree = when(
+            (_party("EU DC", "EU Crossdock"), _named("Duty Beneficial", when(
+                ("dtp = 1", leaf(_txt("DTP MTL"), to="id_dtp")), otherwise=leaf(_txt("Non DTP MTL"), _txt("CLK"))))),
+            (_party("India DC", "Canada DC", "Canada Direct", "Korea DC"), _named("Duty Beneficial", when(
+                ("in_rqt", QUICK_TURN), ("_dual AND _flex", leaf(_txt("Dual Source"), _txt("Flex"), _txt("SJV"), to="id_sjv")),
+                ("_dual", _clk_dual(_txt("Dual Source"), _txt("Not Flex"))), otherwise=leaf(_txt("Single Source"), _txt("CLK"))))))
+    elif code in ("DTC", "FSC", "HSC", "ICC") and loop == 1:
+        tree = when((_party(*NON_DUTY_OTHERS), _named("Non-duty Beneficial", when(
+            ("_flex", leaf(_txt("Flex"), _txt("SJV"), to="id_sjv")), ("_dual", both(leaf(_txt("Not Flex")), _dual(code))),
+            otherwise=leaf(_txt("Not Flex"), _txt(code))))))
+    elif code in ("DTC", "ICC") and loop == 2:
+        tree = when((_party(*second), _named("Duty Beneficial", _stay_or_first(code, "p1_id" if code == "DTC" else "id_sjv"))))
+    elif code in ("FSC", "HSC") and loop == 2:
+        # the log says Flex on both branches
+        tree = when((_party(*second), _named("Duty Beneficial", when(
+            ("in_rqt", QUICK_TURN), ("_flex", leaf(_txt("Flex"), _txt("SJV"), to="id_sjv")), otherwise=leaf(_txt("Flex"), _txt(code))))))
+    elif code == "DTP" and loop == 1:
+        tree = when((_party(*DUTY_DTP), _named("Duty Beneficial", when(
+            ("clk = 1", leaf(_txt("CLK MTL"), to="id_clk")), ("_dual", _dual("DTP"))))))
+    elif code == "DTP" and loop == 2:
+        tree = when((_party("Korea DC"), _named("Duty Beneficial", when(
+            ("in_rqt", QUICK_TURN), ("_flex", leaf(_txt("Flex"), _txt("SJV"), to="id_sjv")), otherwise=_first(_txt("Not Flex"), _txt("First priority"))))))
+    elif code == "SJD" and loop == 1:
+        tree = when((_party("US Direct"), _named("Duty Beneficial", when(
+            ("in_rqt", QUICK_TURN), otherwise=leaf(_txt("not RQT MTL"), _txt("SJV"), to="id_sjv")))))
+    elif code == "SJD" and loop == 2:
+        tree = when((_party("US DC"), _named("Duty Beneficial", leaf(_txt("not RQT MTL"), _txt("SJD")))))
+    elif code == "SJV" and loop <= 5:
+        tree = _sjv(loop)
+    else:
+        return leaf()
+    return both(leaf(_txt(f"[loop: {loop}]")), tree)
+
+
+def constrained_target(loop: int = 1) -> tuple[str, str, str]:
+    """(whether the target was set, target id, rule log) of an overloaded unit by its factory's short name (``fname``)."""
+    own = {c: scenario_b(c, loop) for c in SCENARIO_B_FACTORIES}
+    return tuple("CASE " + " ".join(f"WHEN fname = {_txt(c)} THEN {t[i]}" for c, t in own.items())
+                 + f" ELSE {('FALSE', 'CAST(NULL AS BIGINT)', repr(''))[i]} END" for i in range(3))

@@ -212,5 +212,7 @@ def sql(body: str, *needs: str, local: tuple[tuple[str, str], ...] = ()) -> str:
     items = [(n, CTES[n][1]) for n in order] + list(local)
     if not items:
         return body.strip()
-    parts = ",\n".join(f"{n} AS ({t.strip()})" for n, t in items)
+    # the query's own CTEs feed one another several times: each is computed once
+    own = {n for n, _ in local}
+    parts = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in own else ''}({t.strip()})" for n, t in items)
     return f"WITH RECURSIVE {parts}\n{body.strip()}"

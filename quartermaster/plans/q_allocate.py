@@ -102,36 +102,132 @@ CONSTRAINED_OUT = ["order_id", "line_id", "dim_product_id", "dim_customer_id", "
                    "dim_factory_id_original_constrained", "allocation_logic_constrained", "dim_factory_id"]
 
 
-def constrained(spark, sf_dir):
+def _constrained_inputs(spark, sf_dir):
     m = Model(spark, sf_dir)
     # the constrained pass reads the unconstrained result three times (units, fill, write-back):
     # a reliable checkpoint in the shared checkpoint folder cuts the lineage once
     u = unconstrained(spark, sf_dir).select(*OUT_COLS, "material_id", "style_complexity", "construction_type", "program", "release_date",
                                             "rqt_vendor", "rqt_vendor_id", *[a for a in allocate.UNIT_ATTRS if a not in ("in_rqt", "rqt_vendor", "rqt_vendor_id")])
     ensure_checkpoint_dir(spark)
-    u = u.checkpoint()
-    return allocate.allocate_constrained(u, m.factory, m.capacity, m.calendar, m.retail_qt)
+    return u.checkpoint(), m.factory, m.capacity, m.calendar, m.retail_qt
 
 
 def x_allocate_constrained(spark, sf_dir):
     """Capacity-constrained pass (loop 1) over the unconstrained result."""
-    return constrained(spark, sf_dir).select(*CONSTRAINED_OUT)
-
-
-def constrained_ctes() -> tuple[tuple[str, str], ...]:
-    tfid, tlog = rules.constrained_target()
-    pct = "format('{:,.2f}', CAST(fill AS DOUBLE) / CAST(cap AS DOUBLE) * 100) || '%'"
-
-    def status(name, fill, cap):
-        return (f"CASE WHEN {fill} IS NULL THEN {name} || ' quantity not found for ' || year_cw_accounting || ' construction type ' || construction_type "
-                f"WHEN {cap} IS NULL THEN {name} || ' capacity not found for ' || year_cw_accounting || ' construction type ' || construction_type "
-                f"WHEN {cap} = 0 THEN {name} || ' Weekly fill rate: ' || CAST({fill} AS VARCHAR) || '/' || CAST({cap} AS VARCHAR) "
-                f"ELSE {name} || ' Weekly fill rate: ' || CAST({fill} AS VARCHAR) || '/' || CAST({cap} AS VARCHAR) || ' (' || "
-                f"{pct.replace('fill', fill).replace('cap', cap)} || ')' END")
+    return allocate.allocate_constrained(*_constrained_inputs(spark, sf_dir)).select(*CONSTRAINED_OUT)
+
+
+def x_constrained_loops(spark, sf_dir):
+    """X32-X41 in five loops: the log and factory of every write-back key."""
+    _base, units, load = allocate.demand_units(*_constrained_inputs(spark, sf_dir))
+    return allocate.constrained_state(units, load, max_loop=5).select(
+        *allocate.WRITE_KEYS, F.col("_carried").alias("allocation_logic"), F.col("_moved").alias("moved_to"))
+
+
+def _parties(names) -> str:
+    return "party IN (" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+_N, _B = "' => Non-duty Beneficial: ' || party", "' => Duty Beneficial: ' || party"
+_CLK1, _REST1 = _parties(rules.NON_DUTY_CLK), _parties(rules.NON_DUTY_OTHERS)
+_CHILE_CHINA, _EU = _parties(["Chile DC", "China DC"]), _parties(["EU DC", "EU Crossdock"])
+_ASIA2 = _parties(["India DC", "Canada DC", "Canada Direct", "Korea DC"])
+_D2 = "' => Dual Source => 2nd priority => ' || p2"
+_D1 = "' => Dual Source => 2nd priority => Not found => 1st priority => ' || p1"
+_D0 = "' => Dual Source => 2nd priority => Not found => 1st priority => Not found => ' || fname"
+
+
+def _others1(parties: str) -> list[tuple]:
+    """Loop 1 of DTC, FSC, HSC and ICC."""
+    return [(1, f"{parties} AND flex", "id_sjv", f"{_N} || ' => Flex => SJV'"),
+            (1, f"{parties} AND dual AND p2 IS NOT NULL", "p2_id", f"{_N} || ' => Not Flex' || {_D2}"),
+            (1, f"{parties} AND dual AND p1 IS NOT NULL", "p1_id", f"{_N} || ' => Not Flex' || {_D1}"),
+            (1, f"{parties} AND dual", None, f"{_N} || ' => Not Flex' || {_D0}"),
+            (1, parties, None, f"{_N} || ' => Not Flex => ' || fname"), (1, "TRUE", None, "''")]
+
+
+def _sjv_sql(loop: int, parties: str, kind: str, flex: list[tuple]) -> list[tuple]:
+    """SJV in one loop: what the quick turn set stands unless the sources set something."""
+    own = [(c, f, f"{kind} || q_log || {x}") for c, f, x in (*flex, ("NOT flex AND p1 IS NOT NULL", "p1_id", "' => Not Flex => 1st priority => ' || p1"),
+                                                             ("NOT flex", "NULL", "' => Not Flex => 1st priority'"))]
+    return [(loop, f"{parties} AND {c}", f, x) for c, f, x in own] + [(loop, "TRUE", None, "''")]
+
+
+_FLEX2 = [("flex AND p1 = 'SJV'", "id_hsc", "' => 1st priority = SJV => HSC => Flex => SJV'"),
+          ("flex AND p1 IS NOT NULL", "p1_id", "' => 1st priority = not SJV => 1st priority => ' || p1 || ' => Flex => SJV'"),
+          ("flex", "NULL", "' => 1st priority = not SJV => 1st priority => Flex => SJV'")]
+_FLEX34 = [("flex AND p2 IS NOT NULL", "p2_id", f"' => Flex' || {_D2}"), ("flex AND p1 IS NOT NULL", "p1_id", f"' => Flex' || {_D1}"),
+           ("flex", "Q", f"' => Flex' || {_D0}")]
+
+#: The constrained rules leaf by leaf, written from the procedures for the twin: factory -> (loop, condition, target, log),
+#: the first that holds; target None keeps the factory, Q takes the quick-turn vendor's if its region has one.
+LEAVES = {
+    "CLK": [
+        (1, f"{_CLK1} AND dual AND p2 IS NOT NULL", "p2_id", f"{_N} || ' => Dual Source => 2nd priority' || p2"),
+        (1, f"{_CLK1} AND dual AND p1 IS NOT NULL", "p1_id", f"{_N} || ' => Dual Source => 2nd priority not found => 1st priority => ' || p1"),
+        (1, f"{_CLK1} AND dual", "NULL", f"{_N} || ' => Dual Source => 2nd priority not found => 1st priority'"),
+        (1, _CLK1, None, _N), (1, "TRUE", None, "' => not Non-Duty Beneficial'"),
+        (2, f"{_EU} AND dtp = 1", "id_dtp", f"{_B} || ' => DTP MTL'"), (2, _EU, None, f"{_B} || ' => Non DTP MTL => CLK'"),
+        (2, f"{_ASIA2} AND in_rqt", "Q", f"{_B} || q_log"),
+        (2, f"{_ASIA2} AND flex", "id_sjv", f"{_B} || ' => Dual Source => Flex => SJV'"),
+        (2, f"{_ASIA2} AND dual AND p2 IS NOT NULL", "p2_id", f"{_B} || ' => Dual Source => Not Flex => 2nd priority' || p2"),
+        (2, f"{_ASIA2} AND dual AND p1 IS NOT NULL", "p1_id", f"{_B} || ' => Dual Source => Not Flex => 2nd priority not found => 1st priority => ' || p1"),
+        (2, f"{_ASIA2} AND dual", "NULL", f"{_B} || ' => Dual Source => Not Flex => 2nd priority not found => 1st priority'"),
+        (2, _ASIA2, None, f"{_B} || ' => Single Source => CLK'"), (2, "TRUE", None, "''")],
+    "DTC": _others1(_REST1) + [
+        (2, f"{_CHILE_CHINA} AND in_rqt", "Q", f"{_B} || q_log"),
+        (2, f"{_CHILE_CHINA} AND flex AND p1 = 'DTC'", None, f"{_B} || ' => Flex => 1st priority = DTC => DTC'"),
+        (2, f"{_CHILE_CHINA} AND flex", "p1_id", f"{_B} || ' => Flex => 1st priority = not DTC => SJV'"),
+        (2, _CHILE_CHINA, None, f"{_B} || ' => Not Flex => DTC'"), (2, "TRUE", None, "''")],
+    "DTP": [
+        (1, f"{_EU} AND clk = 1", "id_clk", f"{_B} || ' => CLK MTL'"),
+        (1, f"{_EU} AND dual AND p2 IS NOT NULL", "p2_id", f"{_B} || {_D2}"), (1, f"{_EU} AND dual AND p1 IS NOT NULL", "p1_id", f"{_B} || {_D1}"),
+        (1, f"{_EU} AND dual", None, f"{_B} || {_D0}"), (1, _EU, None, _B), (1, "TRUE", None, "''"),
+        (2, "party = 'Korea DC' AND in_rqt", "Q", f"{_B} || q_log"), (2, "party = 'Korea DC' AND flex", "id_sjv", f"{_B} || ' => Flex => SJV'"),
+        (2, "party = 'Korea DC' AND p1 IS NOT NULL", "p1_id", f"{_B} || ' => Not Flex => First priority => ' || p1"),
+        (2, "party = 'Korea DC'", "NULL", f"{_B} || ' => Not Flex => First priority'"), (2, "TRUE", None, "''")],
+    "FSC": _others1(_REST1) + [
+        (2, f"{_CHILE_CHINA} AND in_rqt", "Q", f"{_B} || q_log"), (2, f"{_CHILE_CHINA} AND flex", "id_sjv", f"{_B} || ' => Flex => SJV'"),
+        (2, _CHILE_CHINA, None, f"{_B} || ' => Flex => FSC'"), (2, "TRUE", None, "''")],
+    "HSC": _others1(_REST1) + [
+        (2, f"{_CHILE_CHINA} AND in_rqt", "Q", f"{_B} || q_log"), (2, f"{_CHILE_CHINA} AND flex", "id_sjv", f"{_B} || ' => Flex => SJV'"),
+        (2, _CHILE_CHINA, None, f"{_B} || ' => Flex => HSC'"), (2, "TRUE", None, "''")],
+    "ICC": _others1(_REST1) + [
+        (2, f"{_CHILE_CHINA} AND in_rqt", "Q", f"{_B} || q_log"),
+        (2, f"{_CHILE_CHINA} AND flex AND p1 = 'ICC'", None, f"{_B} || ' => Flex => 1st priority = ICC => ICC'"),
+        (2, f"{_CHILE_CHINA} AND flex", "id_sjv", f"{_B} || ' => Flex => 1st priority = not ICC => SJV'"),
+        (2, _CHILE_CHINA, None, f"{_B} || ' => Not Flex => ICC'"), (2, "TRUE", None, "''")],
+    "SJD": [
+        (1, "party = 'US Direct' AND in_rqt", "Q", f"{_B} || q_log"), (1, "party = 'US Direct'", "id_sjv", f"{_B} || ' => not RQT MTL => SJV'"),
+        (1, "TRUE", None, "''"), (2, "party = 'US DC'", None, f"{_B} || ' => not RQT MTL => SJD'"), (2, "TRUE", None, "''")],
+    "SJV": (_sjv_sql(1, "party = 'Chile DC'", _N, _FLEX2) + _sjv_sql(2, "party = 'China DC'", _N, _FLEX2)
+            + _sjv_sql(3, "party = 'India DC'", _N, _FLEX34) + _sjv_sql(4, _EU, _N, _FLEX34)
+            + _sjv_sql(5, _parties(["Korea DC", "Korea Direct"]), _B, [("flex", "Q", "' => Flex => SJV'")])),
+}
+
+
+def _leaf_columns(loop: int) -> str:
+    """The target and log of a ruled unit in a loop, as flat CASEs over ``LEAVES``."""
+    to, log = [], []
+    for code, leaves in LEAVES.items():
+        for at, cond, target, text in leaves:
+            if at == loop:
+                held = f"fname = '{code}' AND {cond}"
+                to.append(f"WHEN {held} THEN " + {None: "now_id", "Q": "CASE WHEN in_rqt AND q_set THEN q_id ELSE now_id END"}.get(target, target))
+                log.append(f"WHEN {held} THEN ' => [loop: {loop}]' || {text}")
+    return f"CAST(CASE {' '.join(to)} ELSE now_id END AS BIGINT) AS leaf_id, CASE {' '.join(log)} ELSE '' END AS leaf_log"
+
+
+def constrained_ctes(loops: int = 1) -> tuple[tuple[str, str], ...]:
+    pct = "format('{:,.2f}', CAST(u_fill AS DOUBLE) / CAST(u_cap AS DOUBLE) * 100) || '%'"
+    week = "year_cw_accounting || ' construction type ' || construction_type"
+    status = (f"CASE WHEN u_fill IS NULL THEN fname || ' quantity not found for ' || {week} "
+              f"WHEN u_cap IS NULL THEN fname || ' capacity not found for ' || {week} "
+              f"WHEN u_cap = 0 THEN fname || ' Weekly fill rate: ' || CAST(u_fill AS VARCHAR) || '/' || CAST(u_cap AS VARCHAR) "
+              f"ELSE fname || ' Weekly fill rate: ' || CAST(u_fill AS VARCHAR) || '/' || CAST(u_cap AS VARCHAR) || ' (' || {pct} || ')' END")
     attrs = ", ".join(f"max({a}) AS {a}" for a in allocate.UNIT_ATTRS)
-    keys = ", ".join(allocate.UNIT_KEYS)
-    wkeys = allocate.WRITE_KEYS
-    return unconstrained_ctes() + (
+    keys, wkeys = ", ".join(allocate.UNIT_KEYS), ", ".join(allocate.WRITE_KEYS)
+    ctes = [
         ("cbase", """
 SELECT b.*, cal.year_cw_accounting, coalesce(r.in_rqt, FALSE) AS in_rqt, r.rqt_vendor_m AS rqt_vendor2, fr2.dim_factory_id AS rqt_vendor_id2
 FROM unconstrained b
@@ -149,50 +245,60 @@ LEFT JOIN factory fr2 ON fr2.short_name = r.rqt_vendor_m"""),
         ("cap", """SELECT k.dim_factory_id, cal.year_cw_accounting, k.construction_type, sum(k.capacity_available_weekly) AS cap
                    FROM capacity k JOIN calendar cal ON k.week_date_id = cal.id GROUP BY 1, 2, 3"""),
         ("u1", f"""
-SELECT u.*, f.short_name AS fname, f.factory_region AS f_region, fl.fill AS u_fill, cp.cap AS u_cap
+SELECT u.* EXCLUDE (flex), coalesce(u.flex, FALSE) AS flex, u.dim_factory_id_original_unconstrained AS uid, f.short_name AS fname, f.factory_region AS f_region,
+       fl.fill AS u_fill, cp.cap AS u_cap, coalesce(fl.fill > cp.cap, FALSE) AS overload,
+       coalesce(fl.fill > cp.cap AND f.short_name IN ({', '.join(f"'{c}'" for c in LEAVES)}), FALSE) AS ruled,
+       u.n_src = 2 OR u.clk + u.dtp + u.sjd > 1 OR coalesce(u.flex, FALSE)
+         OR (u.clk + u.dtp + u.sjd = 1 AND coalesce(u.p2 NOT IN (CASE WHEN u.clk = 1 THEN 'CLK' WHEN u.dtp = 1 THEN 'DTP' ELSE 'SJD' END), TRUE)) AS dual
 FROM units u
 LEFT JOIN factory f ON u.dim_factory_id_original_unconstrained = f.dim_factory_id
 LEFT JOIN fill fl ON fl.allocation_group = f.allocation_group AND fl.year_cw_accounting = u.year_cw_accounting
                  AND fl.construction_type = u.construction_type
 LEFT JOIN cap cp ON cp.dim_factory_id = u.dim_factory_id_original_unconstrained
                 AND cp.year_cw_accounting = u.year_cw_accounting AND cp.construction_type = u.construction_type"""),
-        ("u2", f"""
-SELECT *, coalesce(u_fill > u_cap, FALSE) AS _overload,
-       CASE WHEN coalesce(u_fill > u_cap, FALSE) THEN CAST({tfid} AS BIGINT) END AS _tid,
-       CASE WHEN coalesce(u_fill > u_cap, FALSE) THEN '[OVERLOAD] ' || {status('fname', 'u_fill', 'u_cap')} || {tlog}
-            ELSE '[AVAILABLE] ' || {status('fname', 'u_fill', 'u_cap')} END AS _log0
+        ("u2", """
+SELECT *, f_region IN ('EMEA', 'NORA', 'CASA', 'APAC') AS q_set,
+       CASE WHEN f_region = 'APAC' THEN CASE WHEN starts_with(lower(party), 'china') THEN id_hsc ELSE rqt_vendor_id END
+            WHEN rqt_vendor IN ('DTC', 'SJV') THEN CASE WHEN f_region = 'EMEA' THEN id_dtc ELSE id_sjv END ELSE rqt_vendor_id END AS q_id,
+       CASE WHEN NOT in_rqt THEN '' WHEN coalesce(f_region, '') NOT IN ('EMEA', 'NORA', 'CASA', 'APAC') THEN ' => RQT MTL' ELSE ' => RQT MTL => ' ||
+         CASE WHEN f_region = 'APAC' THEN CASE WHEN starts_with(lower(party), 'china') THEN 'HSC' ELSE rqt_vendor END
+              WHEN rqt_vendor IN ('DTC', 'SJV') THEN CASE WHEN f_region = 'EMEA' THEN 'DTC' ELSE 'SJV' END ELSE rqt_vendor END END AS q_log
 FROM u1"""),
-        ("u3", """
-SELECT u.*, fl.fill AS t_fill, cp.cap AS t_cap,
-       u._tid IS NOT NULL AND u._tid <> u.dim_factory_id_original_unconstrained AS _moves
-FROM u2 u
-LEFT JOIN factory f ON u._tid = f.dim_factory_id
-LEFT JOIN fill fl ON fl.allocation_group = f.allocation_group AND fl.year_cw_accounting = u.year_cw_accounting
-                 AND fl.construction_type = u.construction_type
-LEFT JOIN cap cp ON cp.dim_factory_id = u._tid AND cp.year_cw_accounting = u.year_cw_accounting
-                AND cp.construction_type = u.construction_type"""),
-        ("u4", """
-SELECT *, _moves AND (coalesce(t_fill + quantity < t_cap, FALSE) OR coalesce(_tid = id_sjv, FALSE)) AS _accepted
-FROM u3"""),
-        ("u5", """
-SELECT *, CASE WHEN _moves AND NOT _accepted THEN _log0 || ' => Target factory full' ELSE _log0 END AS _log,
-       row_number() OVER (PARTITION BY program, material_id, year_cw_accounting, dim_customer_id, demand_category
-                          ORDER BY quantity, dim_factory_id_original_unconstrained DESC) AS _rn_log,
-       row_number() OVER (PARTITION BY program, material_id, year_cw_accounting, dim_customer_id, demand_category, _accepted
-                          ORDER BY quantity, dim_factory_id_original_unconstrained DESC) AS _rn_acc
-FROM u4"""),
-        ("decided", f"""
-SELECT l.{', l.'.join(wkeys)}, l._log AS allocation_logic_constrained_u, a._tid AS _moved_to
-FROM (SELECT * FROM u5 WHERE _rn_log = 1) l
-LEFT JOIN (SELECT * FROM u5 WHERE _accepted AND _rn_acc = 1) a USING ({', '.join(wkeys)})"""),
-        ("constrained", f"""
-SELECT b.*, coalesce(d._moved_to, b.dim_factory_id_original_unconstrained) AS dim_factory_id_original_constrained,
-       d.allocation_logic_constrained_u AS allocation_logic_constrained,
-       coalesce(d._moved_to, b.dim_factory_id_original_unconstrained) AS dim_factory_id
-FROM cb b LEFT JOIN decided d USING ({', '.join(wkeys)})"""),
-    )
+        ("s0", f"SELECT DISTINCT {wkeys}, CAST(NULL AS VARCHAR) AS carried, CAST(NULL AS BIGINT) AS moved FROM units"),
+    ]
+    for n in range(1, loops + 1):
+        before = f"""CASE WHEN ruled THEN '[OVERLOAD] ' || {status} || ' => ' || fname || ' scenario B'
+            WHEN overload THEN '[OVERLOAD] ' || {status} || ' => No allocation logic found for ' || fname
+            ELSE '[AVAILABLE] ' || {status} END""" if n == 1 else "carried"
+        ctes += [
+            (f"a{n}", f"SELECT *, {_leaf_columns(n)} FROM (SELECT u2.*, carried, moved, coalesce(moved, uid) AS now_id FROM u2 JOIN s{n - 1} USING ({wkeys}))"),
+            (f"b{n}", f"""
+SELECT *, CASE WHEN ruled THEN leaf_id END AS tid,
+       CASE WHEN ruled THEN {before} || leaf_log || CASE WHEN leaf_id IS NULL THEN ' => Not Found' ELSE '' END ELSE {before} END AS log0
+FROM a{n}"""),
+            (f"c{n}", f"""
+SELECT u.*, tid IS NOT NULL AND tid <> uid AS moves, coalesce(tf.fill + u.quantity < tc.cap, FALSE) OR coalesce(tid = id_sjv, FALSE) AS fits
+FROM b{n} u
+LEFT JOIN factory f ON u.tid = f.dim_factory_id
+LEFT JOIN fill tf ON tf.allocation_group = f.allocation_group AND tf.year_cw_accounting = u.year_cw_accounting AND tf.construction_type = u.construction_type
+LEFT JOIN cap tc ON tc.dim_factory_id = u.tid AND tc.year_cw_accounting = u.year_cw_accounting AND tc.construction_type = u.construction_type"""),
+            (f"d{n}", f"""
+SELECT *, row_number() OVER (PARTITION BY {wkeys} ORDER BY quantity, uid DESC, style_complexity DESC NULLS LAST, construction_type DESC NULLS LAST) AS last_log,
+       row_number() OVER (PARTITION BY {wkeys}, moves AND fits ORDER BY quantity, uid DESC, style_complexity DESC NULLS LAST, construction_type DESC NULLS LAST) AS last_move
+FROM c{n}"""),
+            (f"s{n}", f"""
+SELECT {wkeys}, max(CASE WHEN last_log = 1 THEN CASE WHEN moves AND NOT fits THEN log0 || ' => Target factory full' ELSE log0 END END) AS carried,
+       coalesce(max(CASE WHEN moves AND fits AND last_move = 1 THEN tid END), max(moved)) AS moved
+FROM d{n} GROUP BY {wkeys}""")]
+    ctes.append(("constrained", f"""
+SELECT b.*, coalesce(d.moved, b.dim_factory_id_original_unconstrained) AS dim_factory_id_original_constrained,
+       d.carried AS allocation_logic_constrained, coalesce(d.moved, b.dim_factory_id_original_unconstrained) AS dim_factory_id
+FROM cb b LEFT JOIN s{loops} d USING ({wkeys})"""))
+    return unconstrained_ctes() + tuple(ctes)
 
 
 CONSTRAINED_NEEDS = ALLOC_NEEDS + ("capacity", "calendar")
 query("x_allocate_constrained", sql(f"SELECT {', '.join(CONSTRAINED_OUT)} FROM constrained", *CONSTRAINED_NEEDS,
                                     local=constrained_ctes()))(x_allocate_constrained)
+query("x_constrained_loops", sql(f"SELECT {', '.join(allocate.WRITE_KEYS)}, carried AS allocation_logic, moved AS moved_to FROM s5",
+                                 *CONSTRAINED_NEEDS, local=constrained_ctes(5)))(x_constrained_loops)
