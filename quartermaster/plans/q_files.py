@@ -9,6 +9,7 @@ from ..operators import master, merge, validate
 from ..operators.master import Found, Rules
 from ..session import scratch_path
 from ..sources import files
+from ..sources.slices import SliceTable
 from .model import Model
 from .model_sql import sql
 from .registry import query
@@ -42,12 +43,13 @@ def s10_replace_slice(spark, sf_dir):
     conditional delete."""
     m = Model(spark, sf_dir)
     d = m.demand.select("demand_category", F.date_format("demand_date", "yyyyMMdd").alias("day"), "quantity", F.year("release_date").alias("release_year"))
-    path = scratch_path(spark, "demand-slices")
+    keys = ["release_year", "demand_category"]
+    table = SliceTable(spark, scratch_path(spark, "demand-slices"), keys)
     per = d.groupBy("demand_category", "release_year", "day").agg(F.sum("quantity").alias("quantity"))
-    files.replace_slice(per, path, ["release_year", "demand_category"])
+    table.replace(per, [r.asDict() for r in per.select(*keys).distinct().collect()])
     new = per.filter((F.col("release_year") == 1997) & (F.col("demand_category") == "Forecast")).withColumn("quantity", F.lit(0).cast("bigint"))
-    files.replace_slice(new, path, ["release_year", "demand_category"])
-    out = files.transfer(spark.read.parquet(path), ["day"], "day", F.lit("1996-06-01").cast("date"))
+    table.replace(new, [{"release_year": 1997, "demand_category": "Forecast"}])
+    out = files.transfer(table.read(), ["day"], "day", F.lit("1996-06-01").cast("date"))
     out = files.delete_where(out, F.dayofweek("day") == 1, F.month("day") == 2)
     return out.groupBy("release_year", "demand_category").agg(F.count(F.lit(1)).alias("n_days"), F.sum("quantity").alias("quantity"))
 
@@ -58,6 +60,62 @@ SELECT CAST(year(release_date) AS INTEGER) AS release_year, demand_category, cou
 FROM demand WHERE demand_date >= DATE '1996-06-01' AND dayofweek(demand_date) <> 0 AND month(demand_date) <> 2 GROUP BY 1, 2""", "demand"))(s10_replace_slice)
 
 
+def s10_slice_commits(spark, sf_dir):
+    """S10 loads of named slices: one replaced, one cleared by an empty load, the others kept."""
+    m = Model(spark, sf_dir)
+    o = m.table("orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("priority"))
+    table = SliceTable(spark, scratch_path(spark, "order-slices"), ["year", "priority"])
+    table.replace(o, [r.asDict() for r in o.select("year", "priority").distinct().collect()])  # the caller's list of slices
+    table.replace(o.filter("year = 1998 AND priority = '1-URGENT'").withColumn("o_totalprice", F.lit(1.0)), [{"year": 1998, "priority": "1-URGENT"}])
+    table.replace(o.limit(0), [{"year": 1997, "priority": "5-LOW"}, {"year": 2050, "priority": "5-LOW"}])
+    return table.read().groupBy("year", "priority").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+query("s10_slice_commits", sql("""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS priority, count(*) AS n,
+       round(sum(CASE WHEN year(o_orderdate) = 1998 AND o_orderpriority = '1-URGENT' THEN 1.0e0 ELSE o_totalprice END), 2) AS total
+FROM orders WHERE NOT (year(o_orderdate) = 1997 AND o_orderpriority = '5-LOW') GROUP BY 1, 2"""))(s10_slice_commits)
+
+
+SOURCE_SEPARATORS = {"acme.csv": "|", "bolt.csv": ";", "cord.csv": "\t"}
+
+
+def s03_load_if_newer(spark, sf_dir):
+    """S01-S04 three delimited sources with their own separators, Latin-1 letters and rows with too many fields, loaded by
+    the manifest; one changes and the second run loads it alone."""
+    s = Model(spark, sf_dir).table("supplier")
+    folder = scratch_path(spark, "sources")
+    staging = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("nation", T.IntegerType()), T.StructField("balance", T.DoubleType())])
+    table = SliceTable(spark, scratch_path(spark, "staged"), ["source"])
+
+    def write(name, i, scale):
+        sep = SOURCE_SEPARATORS[name]
+        k = F.col("s_suppkey")
+        fields = [k.cast("string"), F.concat(F.lit("Caf\u00e9 "), "s_name"), F.when(k % 7 == 0, "n/a").otherwise(F.col("s_nationkey").cast("string")),
+                  (F.col("s_acctbal") * scale).cast("decimal(18,2)").cast("string")]
+        line = F.concat_ws(sep, *fields, F.when(k % 11 == 0, F.lit("more")))
+        head = spark.createDataFrame([(-1, sep.join(staging.names))], "k long, value string")
+        rows = head.union(s.filter(k % 3 == i).select(k.alias("k"), line.alias("value"))).coalesce(1).sortWithinPartitions("k")
+        rows.select("value").write.mode("overwrite").option("encoding", "ISO-8859-1").csv(
+            f"{folder}/{name}", sep="\u0001", quote="", escapeQuotes=False, quoteAll=False)
+
+    for i, name in enumerate(SOURCE_SEPARATORS):
+        write(name, i, 1)
+    first = files.load_changed(spark, folder, table, staging)
+    write("bolt.csv", 1, 2)
+    second = files.load_changed(spark, folder, table, staging)
+    third = files.load_changed(spark, folder, table, staging)
+    runs = F.create_map(*[x for n in SOURCE_SEPARATORS for x in (F.lit(n), F.lit((n in first) + (n in second) + (n in third)))])
+    return table.read().select("source", "id", "name", "nation", "balance", runs[F.col("source")].alias("loads"))
+
+
+query("s03_load_if_newer", sql("""
+SELECT (['acme.csv', 'bolt.csv', 'cord.csv'])[s_suppkey % 3 + 1] AS source, s_suppkey AS id, 'Café ' || s_name AS name,
+       CASE WHEN s_suppkey % 7 <> 0 THEN s_nationkey END AS nation, CAST(CAST(s_acctbal * CASE WHEN s_suppkey % 3 = 1 THEN 2 ELSE 1 END AS DECIMAL(18,2)) AS DOUBLE) AS balance,
+       CASE WHEN s_suppkey % 3 = 1 THEN 2 ELSE 1 END AS loads
+FROM supplier WHERE s_suppkey % 11 <> 0"""))(s03_load_if_newer)
+
+
 def v33_capacity_grid(spark, sf_dir):
     """V33 submitted weekly capacity: type, factory and year are checked, then the cells are inserted or updated; V13 the
     suites that a category calls for."""
