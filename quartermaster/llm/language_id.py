@@ -20,7 +20,7 @@ any length are scored whole.  Other columns of the input are ignored, whatever t
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +36,9 @@ UNKNOWN = "und"
 #: Rounds of expectation maximisation, the count added to each piece, and the divisor of a text's evidence.
 ROUNDS, SMOOTHING, TEMPER = 3, 0.01, 8.0
 #: Bytes of words that a worker's forward pass takes at once, and words whose evidence it remembers.
-PASS_BYTES, CACHE_WORDS = 1 << 20, 200_000
+PASS_BYTES, CACHE_WORDS = 1 << 15, 300_000
+#: Longest word summed as plain numbers, and the factor of each of its bytes.
+PLAIN_BYTES, BYTE_SCALE = 32, 2.0 ** 20
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -64,6 +66,9 @@ class Lattice:
                     token.append(-1)
             token[node] = i
         self.size = max(pieces.values()) + 1
+        self.lengths = np.zeros(self.size, np.int64)
+        for raw, i in pieces.items():
+            self.lengths[i] = len(raw)
         self.trie = PairTable(np.array([n << 8 | x for n, x in nodes], np.int64), np.fromiter(nodes.values(), np.int64), -1)
         self.token = np.array(token, np.int64)
 
@@ -97,24 +102,25 @@ class Edges:
         self.start, self.end, self.token, self.word, self.first, self.last = start, end, token, word, first, last
         self.states = int(last[-1]) + 1
 
-    def _sweep(self, weight: np.ndarray, source: np.ndarray, target: np.ndarray, place: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """Logarithms of path sums at every state; states at the same place of their words are summed side by side."""
-        out = np.full((self.states, weight.shape[1]), -np.inf)
-        out[begin] = 0.0
-        order = np.lexsort((target, place))
+    def _sweep(self, weight: np.ndarray, source: np.ndarray, target: np.ndarray, place: np.ndarray, begin: np.ndarray, logs: bool) -> np.ndarray:
+        """Path sums at every state (or their logarithms); states at the same place of their words are summed side by side."""
+        out = np.full((self.states, weight.shape[1]), -np.inf if logs else 0.0)
+        out[begin] = 0.0 if logs else 1.0
+        order = np.argsort(place * self.states + target)
         source, target, weight = source[order], target[order], weight[order]
         steps = np.flatnonzero(np.append(True, np.diff(place[order]) != 0))
         heads = np.flatnonzero(np.append(True, np.diff(target) != 0))
         cuts = np.searchsorted(heads, steps)
         for a, b, c, d in zip(steps, np.append(steps[1:], len(source)), cuts, np.append(cuts[1:], len(heads))):
-            out[target[heads[c:d]]] = np.logaddexp.reduceat(out[source[a:b]] + weight[a:b], heads[c:d] - a, axis=0)
+            terms, add = (out[source[a:b]] + weight[a:b], np.logaddexp) if logs else (out[source[a:b]] * weight[a:b], np.add)
+            out[target[heads[c:d]]] = add.reduceat(terms, heads[c:d] - a, axis=0)
         return out
 
-    def forward(self, weight: np.ndarray) -> np.ndarray:
-        return self._sweep(weight, self.start, self.end, self.end - self.first[self.word], self.first)
+    def forward(self, weight: np.ndarray, logs: bool = True) -> np.ndarray:
+        return self._sweep(weight, self.start, self.end, self.end - self.first[self.word], self.first, logs)
 
-    def backward(self, weight: np.ndarray) -> np.ndarray:
-        return self._sweep(weight, self.end, self.start, self.last[self.word] - self.start, self.last)
+    def backward(self, weight: np.ndarray, logs: bool = True) -> np.ndarray:
+        return self._sweep(weight, self.end, self.start, self.last[self.word] - self.start, self.last, logs)
 
 
 @lru_cache(1)
@@ -136,11 +142,22 @@ def runs(words: list[str]):
 
 
 def log_likelihoods(words: list[str], log_p: np.ndarray, path: str) -> np.ndarray:
-    """(words, languages): the logarithm of each word's probability over all its segmentations."""
+    """(words, languages): the logarithm of each word's probability over all its segmentations.
+
+    Words of up to ``PLAIN_BYTES`` bytes are summed as plain numbers, each byte scaled by ``BYTE_SCALE`` so that none leaves
+    the range of doubles; longer ones are summed as logarithms, which gives the same but for rounding."""
     out = np.empty((len(words), log_p.shape[1]))
-    for a, b in runs(words):
-        e = lattice(path).edges(words[a:b])
-        out[a:b] = e.forward(log_p[e.token])[e.last]
+    lat = lattice(path)
+    plain = np.exp(log_p + np.log(BYTE_SCALE) * lat.lengths[:, None])
+    size = np.array([len(w.encode()) + 1 for w in words], np.int64)
+    for chosen, logs in ((np.flatnonzero(size <= PLAIN_BYTES), False), (np.flatnonzero(size > PLAIN_BYTES), True)):
+        listed = [words[i] for i in chosen.tolist()]
+        for a, b in runs(listed):
+            e, at = lat.edges(listed[a:b]), chosen[a:b]
+            if logs:
+                out[at] = e.forward(log_p[e.token])[e.last]
+            else:
+                out[at] = np.log(e.forward(plain[e.token], False)[e.last]) - np.log(BYTE_SCALE) * size[at][:, None]
     return out
 
 
@@ -161,11 +178,11 @@ def expected_uses(words: list[str], language: np.ndarray, count: np.ndarray, log
 def word_counts(learnt: DataFrame, lang: str, text: str) -> DataFrame:
     """(language, word, count) over all learnt documents; a task's batches are summed before the shuffle."""
     def run(batch):
-        total: Counter = Counter()
+        total: defaultdict[str, Counter] = defaultdict(Counter)
         for own, t in zip(batch.column(lang).to_pylist(), texts_of(batch, text)):
-            for w, n in Counter(words_of(t)).items():
-                total[own, w] += n
-        return {"language": [k[0] for k in total], "word": [k[1] for k in total], "count": list(total.values())}
+            total[own].update(words_of(t))
+        return {"language": [own for own, words in total.items() for _ in words], "word": [w for words in total.values() for w in words],
+                "count": [n for words in total.values() for n in words.values()]}
 
     found = map_batches(learnt.select(lang, text), run, schema_of(("language", T.StringType()), ("word", T.StringType()), ("count", T.LongType())))
     return found.groupBy("language", "word").agg(F.sum("count").alias("count"))
@@ -208,28 +225,35 @@ def fit(learnt: DataFrame, path: str, lang: str = "lang", text: str = "text") ->
 
 
 class Scorer:
-    """A worker's scorer, which remembers the evidence of words."""
+    """A worker's scorer, which remembers the evidence of words: a row for each, the last column its number of words."""
 
     def __init__(self, log_p: np.ndarray, path: str):
         self.log_p, self.path, self.known = log_p, path, {}
-        self.table = np.empty((0, log_p.shape[1]))
+        self.table = np.empty((0, log_p.shape[1] + 1))
 
-    def evidence(self, texts: list[str]) -> np.ndarray:
-        counted = [Counter(words_of(t)) for t in texts]
-        seen = set().union(*counted)
-        new = sorted(seen.difference(self.known))
+    def learn(self, seen: set[str]) -> None:
+        new = list(seen.difference(self.known))
         if len(self.known) + len(new) > CACHE_WORDS:  # starts anew; results do not depend on it
-            self.known, self.table, new = {}, self.table[:0], sorted(seen)
+            self.known, self.table, new = {}, self.table[:0], list(seen)
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.table = np.concatenate([self.table, log_likelihoods(new, self.log_p, self.path)])
-        out = np.zeros((len(texts), self.log_p.shape[1]))
-        for i, own in enumerate(counted):
-            if own:
-                at = np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))
-                out[i] = np.fromiter(own.values(), float, len(own)) @ self.table[at]
-            else:
-                out[i] = np.nan
-        return out
+        words = [[w] if w.isalpha() else words_of(w) for w in new]
+        flat = [w for own in words for w in own]
+        found = np.column_stack([log_likelihoods(flat, self.log_p, self.path), np.ones(len(flat))])
+        ends = np.cumsum([len(own) for own in words], dtype=np.int64)
+        upto = np.concatenate([np.zeros((1, found.shape[1])), np.cumsum(found, axis=0)]) if len(flat) != len(new) else None
+        rows = found if upto is None or not len(new) else upto[ends] - upto[np.append(0, ends[:-1])]
+        self.table = np.concatenate([self.table, rows.reshape(len(new), -1)])
+
+    def evidence(self, texts: list[str]) -> np.ndarray:
+        """(texts, languages): sums over the words of each text; not a number for a text without a letter."""
+        runs_of = [_LETTERS.findall(t.lower()) for t in texts]
+        self.learn(set().union(*runs_of))
+        out = np.zeros((len(texts), self.table.shape[1]))
+        of = self.known.__getitem__
+        for i, own in enumerate(runs_of):
+            out[i] = self.table[np.fromiter(map(of, own), np.int64, len(own))].sum(axis=0)
+        out[out[:, -1] == 0] = np.nan
+        return out[:, :-1]
 
 
 def judge(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
