@@ -21,6 +21,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,7 @@ SURENESS = 2.0
 THRESHOLD = 0.3
 FOLDS = 5
 CACHE_TOKENS = 400_000
+#: Longest token that a worker remembers.
 LONG_TOKEN = 64
 
 #: Symbols and the letters they stand for (fixed values of common disguises).
@@ -47,6 +51,7 @@ SEPARATORS = ".-_*~·'`,/:"
 EDGE = "\"#%&()*+,-./:;<=>?[\\]^_`{|}~!'«»“”„…¿¡ "
 LETTER = re.compile(r"[^\W\d_]")
 PLAIN = re.compile(r"[^\W\d_]+")
+RUN = re.compile(r"(?s:(.)\1*)")
 DOUBLED = re.compile(r"([^\W\d_])\1")
 SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
 CHANNEL = re.compile("[" + re.escape("".join(DISGUISES) + SEPARATORS) + "]")
@@ -93,10 +98,11 @@ def count_trigrams(df: DataFrame, text: str = "text") -> dict[int, int]:
     return {r["gram"]: r["n"] for r in grams.collect()}
 
 
-class CharModel:
-    """Trigrams interpolated with bigrams and single symbols."""
+class CharModel(dict):
+    """Trigrams interpolated with bigrams and single symbols: trigram -> its logarithm, worked out when first asked for."""
 
     def __init__(self, trigrams: dict[int, int], weight: float = 5.0):
+        super().__init__()
         self.k = weight
         self.tri, self.bi, self.uni, self.context1, self.context2 = trigrams, Counter(), Counter(), Counter(), Counter()
         for g, n in trigrams.items():
@@ -106,78 +112,90 @@ class CharModel:
             self.context1[b] += n
             self.uni[c] += n
         self.total = sum(self.uni.values())
-        self.known: dict[int, float] = {}
+
+    def __missing__(self, g: int) -> float:
+        ab, b, c = g // SYMBOLS, g // SYMBOLS % SYMBOLS, g % SYMBOLS
+        one = (self.uni[c] + 1) / (self.total + SYMBOLS)
+        two = (self.bi[b * SYMBOLS + c] + self.k * one) / (self.context1[b] + self.k)
+        self[g] = p = math.log((self.tri.get(g, 0) + self.k * two) / (self.context2[ab] + self.k))
+        return p
 
     def log_p(self, a: int, b: int, c: int) -> float:
-        g = (a * SYMBOLS + b) * SYMBOLS + c
-        if g not in self.known:
-            one = (self.uni[c] + 1) / (self.total + SYMBOLS)
-            two = (self.bi[b * SYMBOLS + c] + self.k * one) / (self.context1[b] + self.k)
-            self.known[g] = math.log((self.tri.get(g, 0) + self.k * two) / (self.context2[a * SYMBOLS + b] + self.k))
-        return self.known[g]
+        return self[(a * SYMBOLS + b) * SYMBOLS + c]
 
 
 # ---- noisy channel ------------------------------------------------------------------------------------------------
 
+@lru_cache(1 << 16)
+def readings_of(c: str, n: int, letters: bool) -> list[tuple[str, float]]:
+    """What a run of ``n`` (three or more: 3) equal characters may stand for, with the logarithms of the probabilities."""
+    if LETTER.match(c):
+        return [(c, 0.0)] if n == 1 else [(c, -2.0 if n == 2 else -0.7), (c * 2, -0.2 if n == 2 else -0.7)]
+    readings = [] if letters and c in DISGUISES else [(" ", -3.0)]
+    if c in SEPARATORS or c.isspace():
+        readings.append(("", -0.5))
+    for x in DISGUISES.get(c, ""):
+        readings += [(x, -0.7), (x * 2, -1.5)] if n > 1 else [(x, -0.5)]
+    return readings
+
+
 def lattice(token: str, letters: bool = False) -> list[list[tuple[str, float]]]:
     """For each run of equal characters, its readings with the logarithms of their channel probabilities; with
     ``letters`` every disguise stands for a letter."""
-    out, i = [], 0
-    while i < len(token):
-        c, j = token[i], i + 1
-        while j < len(token) and token[j] == c:
-            j += 1
-        n = j - i
-        if LETTER.match(c):
-            out.append([(c, 0.0)] if n == 1 else [(c, -2.0 if n == 2 else -0.7), (c * 2, -0.2 if n == 2 else -0.7)])
-        else:
-            readings = [] if letters and c in DISGUISES else [(" ", -3.0)]
-            if c in SEPARATORS or c.isspace():
-                readings.append(("", -0.5))
-            for x in DISGUISES.get(c, ""):
-                readings += [(x, -0.7), (x * 2, -1.5)] if n > 1 else [(x, -0.5)]
-            out.append(readings)
-        i = j
-    return out
+    return [readings_of(m[1], min(3, m.end() - m.start()), letters) for m in RUN.finditer(token)]
+
+
+@lru_cache(1 << 16)
+def options_of(c: str, n: int, letters: bool) -> list[tuple[str, float, tuple[int, ...]]]:
+    """The readings with their symbols."""
+    return [(reading, cost, tuple(SYMBOL_OF[np.frombuffer(reading.encode(), np.uint8)].tolist())) for reading, cost in readings_of(c, n, letters)]
 
 
 def decode(token: str, model: CharModel, letters: bool = False) -> str:
-    """The likeliest plain reading of a token; boundaries are blanks."""
-    best = {(0, 0): (0.0, "")}
-    for readings in [*lattice(token, letters), [(" ", 0.0)]]:
-        step: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in best.items():
-            for reading, cost in readings:
-                x, y, s = a, b, score + cost
-                for c in reading.encode():
-                    z = int(SYMBOL_OF[c])
-                    if z or y:  # further boundaries cost nothing
-                        s += model.log_p(x, y, z)
-                        x, y = y, z
-                if (x, y) not in step or step[x, y][0] < s:
-                    step[x, y] = (s, text + reading)
+    """The likeliest plain reading of a token of any length; boundaries are blanks.
+
+    A state is the last two symbols; its reading is a chain of links to the states before, so a step costs the same
+    wherever in the token it is."""
+    best: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    for options in [*(options_of(m[1], min(3, m.end() - m.start()), letters) for m in RUN.finditer(token)), [(" ", 0.0, (0,))]]:
+        step: dict[int, tuple[float, tuple | None]] = {}
+        for before, (score, link) in best.items():
+            for reading, cost, own in options:
+                state, s = before, score + cost
+                for z in own:
+                    last = state % SYMBOLS
+                    if z or last:  # further boundaries cost nothing
+                        s += model[state * SYMBOLS + z]
+                        state = last * SYMBOLS + z
+                if state not in step or step[state][0] < s:
+                    step[state] = (s, (link, reading) if reading else link)
         best = step
-    return max(best.values())[1].strip()
+    _, link = max(best.values(), key=itemgetter(0))
+    out = []
+    while link is not None:
+        link, reading = link
+        out.append(reading)
+    return "".join(reversed(out)).strip()
 
 
 def suspicious(token: str) -> bool:
     return bool(" " in token or CHANNEL.search(token) or DOUBLED.search(token))
 
 
-class Restorer:
-    """Distinct words of a text as written and as restored; tokens a worker has seen are cached (bounded)."""
+class Restorer(dict):
+    """Token -> its distinct words as written and as restored; tokens a worker has seen are remembered (bounded)."""
 
     def __init__(self, model: CharModel):
-        self.model, self.cache = model, {}
-
-    def words_of_token(self, token: str) -> tuple[str, ...]:
-        known = self.cache.get(token)
-        if known is None:
-            known = tuple(self._words(token))
-            if len(token) <= LONG_TOKEN:
-                if len(self.cache) >= CACHE_TOKENS:
-                    self.cache.clear()
-                self.cache[token] = known
+        super().__init__()
+        self.model = model
+        self.weight_of: WordWeights | None = None
+
+    def __missing__(self, token: str) -> tuple[str, ...]:
+        known = tuple(self._words(token))
+        if len(token) <= LONG_TOKEN:
+            if len(self) >= CACHE_TOKENS:
+                self.clear()
+            self[token] = known
         return known
 
     def _words(self, token: str) -> set[str]:
@@ -185,13 +203,11 @@ class Restorer:
         if bare.isalpha() and not DOUBLED.search(bare):
             return {bare}
         words = set(PLAIN.findall(token))
-        for a in range(0, len(token), LONG_TOKEN):  # a long token is read in stretches that overlap by half
-            part = token[max(0, a - LONG_TOKEN // 2):a + LONG_TOKEN]
-            for form in {part.strip(BARE_EDGE), part.strip(EDGE)}:
-                if form and suspicious(form):
-                    words.update(decode(form, self.model).split())
-                    if DISGUISED.search(form):  # the plain words are there already, so a disguise may not be a boundary only
-                        words.update(decode(form, self.model, True).split())
+        for form in {bare, token.strip(EDGE)}:
+            if form and suspicious(form):
+                words.update(decode(form, self.model).split())
+                if DISGUISED.search(form):  # the plain words are there already, so a disguise may not be a boundary only
+                    words.update(decode(form, self.model, True).split())
         return words
 
     def words(self, text: str) -> set[str]:
@@ -199,7 +215,7 @@ class Restorer:
         tokens = set(low.split())
         for m in SPACED.finditer(low):
             tokens.add(" ".join(m[0].split()))  # each blank may be a boundary or nothing
-        return set().union(*map(self.words_of_token, tokens))
+        return set(chain.from_iterable(map(self.__getitem__, tokens)))
 
 
 # ---- evidence and training ----------------------------------------------------------------------------------------
@@ -208,11 +224,25 @@ def features(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in range(3, min(6, len(word)) + 1))]
 
 
-def evidence(words: set[str], weights: dict[str, float]) -> tuple[float, float, float]:
+class WordWeights(dict):
+    """The largest weight among a word's features (0 if none is above), remembered for words seen before (bounded)."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= CACHE_TOKENS:
+            self.clear()
+        get = self.weights.get
+        self[word] = w = max(0.0, *[get(f, 0.0) for f in features(word)])
+        return w
+
+
+def evidence(words: set[str], weight_of: WordWeights) -> tuple[float, float, float]:
     """The two largest word weights above zero, and the logarithm of the number of words (more words, more chances)."""
-    get = weights.get
-    found = sorted((max([get(f, 0.0) for f in features(w)]) for w in words), reverse=True)[:2] if weights else []
-    found = [max(0.0, x) for x in found] + [0.0, 0.0]
+    found = sorted(filter(None, map(weight_of.__getitem__, words)), reverse=True)[:2] if weight_of.weights else []
+    found += [0.0, 0.0]
     return found[0], found[1], math.log1p(len(words))
 
 
@@ -273,7 +303,10 @@ class ToxicityModel:
         self.trigrams, self.weights, self.knots, self.coefficients = trigrams, weights, knots, coefficients
 
     def scores(self, restorer: Restorer, texts: list[str]) -> list[float]:
-        x = bent(np.array([evidence(restorer.words(t), self.weights) for t in texts]).reshape(-1, 3), self.knots)
+        """``restorer`` remembers the words' weights, too: a worker has one restorer for one model."""
+        if restorer.weight_of is None:
+            restorer.weight_of = WordWeights(self.weights)
+        x = bent(np.array([evidence(restorer.words(t), restorer.weight_of) for t in texts]).reshape(-1, 3), self.knots)
         return (1 / (1 + np.exp(-np.clip(x @ self.coefficients[:-1] + self.coefficients[-1], -500, 500)))).tolist()
 
 
@@ -331,7 +364,8 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     other = [weighed(table.sum(axis=1) - table[:, k], n.sum(axis=0) - n[k]) for k in range(FOLDS)]
 
     def out_of_fold(batch):
-        got = [evidence(set(ws), other[fold]) for fold, ws in zip(batch.column("fold").to_pylist(), batch.column("words").to_pylist())]
+        weights = [WordWeights(w) for w in other]
+        got = [evidence(set(ws), weights[fold]) for fold, ws in zip(batch.column("fold").to_pylist(), batch.column("words").to_pylist())]
         return {"y": batch.column("y"), **{c: [g[k] for g in got] for k, c in enumerate("abc")}}
 
     seen = map_batches(rows, out_of_fold, schema_of(("y", T.IntegerType()), *((c, T.DoubleType()) for c in "abc"))).collect()
