@@ -23,12 +23,58 @@ def resolve_product(staged: DataFrame, products: DataFrame, materials: DataFrame
                    "dim_product_id", drop_unresolved=True).drop("_mtl")
 
 
-def _facts(df: DataFrame, order: Column, date: Column, asap: Column) -> DataFrame:
-    keyed = df.select(order.alias("order_number"), date.alias("dim_date_id"), "dim_customer_id", "dim_product_id", asap.alias("is_asap"), "quantity")
-    return keyed.groupBy("order_number", "dim_date_id", "dim_customer_id", "dim_product_id", "is_asap").agg(F.sum("quantity").alias("quantity"))
-
-
-def ntb_emea(staged: DataFrame, customers: DataFrame, lead_times: DataFrame, calendar: DataFrame, release: Column) -> DataFrame:
+def _facts(df: DataFrame, order: Column, date: Column, asap: Column, whole: dict[str, Column] | None = None) -> DataFrame:
+    """Facts by order number, date, customer, product and ASAP.  With ``whole`` (fact column -> aggregate of staged columns)
+    they carry both quantities (``quantity`` in units, ``sap_quantity`` as the order system has it), the original date and
+    those attributes; a text's maximum makes that aggregate sort by the key instead of hashing it."""
+    keys = {"order_number": order, "dim_date_id": date, "dim_customer_id": F.col("dim_customer_id"), "dim_product_id": F.col("dim_product_id"), "is_asap": asap}
+    grouped = df.groupBy(*[c.alias(n) for n, c in keys.items()])
+    if whole is None:
+        return grouped.agg(F.sum("quantity").alias("quantity"))
+    out = grouped.agg(F.sum("quantity").alias("quantity_lum"), F.sum("sap_quantity").alias("quantity_non_lum"), *[c.alias(n) for n, c in whole.items()])
+    return out.withColumn("dim_date_id_original", F.col("dim_date_id"))
+
+
+#: The attributes of a fact that come from the staged rows, in order; a region that has none leaves NULL.
+ATTRIBUTES = {n: "string" for n in ("material_id_sr", "pr_code", "pr_cut_code", "so_code", "po_code_customer", "comment_region", "sold_to_customer_name", "musical_cnt",
+                                    "smu", "order_reference", "sku_footlocker", "prepack_code", "exp_delivery_with_constraint", "exp_delivery_without_constraint",
+                                    "coo", "remarks_region")} | {"mcq": "int", "carton_qty": "int", "delivery_d": "date", "customer_requested_xf_dt": "date",
+                                                                  "original_customer_requested_dt": "date"}
+
+
+def region_attributes(region: str) -> dict[str, Column]:
+    """Fact column -> aggregate of the region's staged columns: the largest value of a group, missing codes as empty text
+    where the region's load has them so."""
+    def top(c):
+        return F.max(c)
+
+    def filled(c):
+        return F.max(F.coalesce(c, F.lit("")))
+
+    given = {
+        "EMEA": {"material_id_sr": top("staged_material_id"), "pr_code": filled("pr_code"), "so_code": top("so_code"), "sold_to_customer_name": top("sold_party"),
+                 "mcq": top("moq"), **{n: top(n) for n in ("smu", "order_reference", "sku_footlocker", "prepack_code")},
+                 "exp_delivery_with_constraint": top("exp_delivery_with_constraint"), "exp_delivery_without_constraint": top("delivery_text"),
+                 "coo": top("location_country"), "remarks_region": top("comment_region")},
+        "APAC": {"material_id_sr": top("staged_material_id"), "pr_code": filled("pr_code"), "pr_cut_code": filled("item"), "so_code": top("so_code"),
+                 "po_code_customer": top("customer_po_code"), "comment_region": top("comment_region"), "customer_requested_xf_dt": top("requested"),
+                 "original_customer_requested_dt": top("requested"), "sold_to_customer_name": top("ship_name"), "mcq": top("moq"), "musical_cnt": top("musical_cnt"),
+                 "remarks_region": top("remarks"), "carton_qty": top("carton_qty")},
+        "CASA": {"material_id_sr": top("staged_material_id"), "pr_code": F.coalesce(top("pr_code"), F.lit(UNDEFINED)), "po_code_customer": top("customer_po_code"),
+                 "comment_region": top("comment_region"), "customer_requested_xf_dt": top("_d"), "original_customer_requested_dt": top("_d"),
+                 "sold_to_customer_name": F.lit("CASA"), "mcq": top("moq"), **{n: top(n) for n in ("smu", "order_reference", "sku_footlocker", "prepack_code")},
+                 "coo": top("country_origin"), "remarks_region": top("comment_region")},
+        "NORA": {"material_id_sr": filled("staged_material_id"), "pr_code": filled("pr_code"), "pr_cut_code": filled("item"), "so_code": filled("so_code"),
+                 "po_code_customer": filled("customer_po_code"), "comment_region": filled("planning_notes"), "customer_requested_xf_dt": top("_d"),
+                 "original_customer_requested_dt": top("required"), "sold_to_customer_name": filled("sold_party"),
+                 "mcq": F.when(F.length(top("staged_material_id")) == 11, 1).otherwise(F.right(top("size"), F.lit(2)).try_cast("int")),
+                 "delivery_d": safe_date(top("delivered")), "smu": top("smu")},
+    }[region]
+    return {n: given.get(n, F.lit(None)).cast(kind) for n, kind in ATTRIBUTES.items()}
+
+
+def ntb_emea(staged: DataFrame, customers: DataFrame, lead_times: DataFrame, calendar: DataFrame, release: Column,
+             whole: dict[str, Column] | None = None) -> DataFrame:
     """Text ASAP becomes the release day + 73, or + 103 where the material's lead time is 110; other texts give the
     Monday of their week within eleven months of the release, and rows without one drop out."""
     asap = F.upper("delivery_text") == "ASAP"
@@ -40,25 +86,26 @@ def ntb_emea(staged: DataFrame, customers: DataFrame, lead_times: DataFrame, cal
                .withColumn("week_accounting", week_from_text("delivery_text")).join(F.broadcast(mondays), "week_accounting", "left"))
     days = F.when(F.col("production_lt") == LONG_LEAD_TIME, ASAP_DAYS_LONG).otherwise(ASAP_DAYS)
     date = F.when(asap, date_id(add_days(release, days))).otherwise(F.col("_monday"))
-    return _facts(j.filter(asap | F.col("_monday").isNotNull()), F.coalesce("pr_code", F.lit(UNDEFINED)), date, F.coalesce(asap, F.lit(False)).cast("int"))
+    return _facts(j.filter(asap | F.col("_monday").isNotNull()), F.coalesce("pr_code", F.lit(UNDEFINED)), date, F.coalesce(asap, F.lit(False)).cast("int"), whole)
 
 
-def ntb_apac(staged: DataFrame, customers: DataFrame) -> DataFrame:
+def ntb_apac(staged: DataFrame, customers: DataFrame, whole: dict[str, Column] | None = None) -> DataFrame:
     """The order number is the request and its line; customers by name, rows of unknown ones drop out."""
     names = dedup_lookup(customers.select("name", F.col("id").alias("dim_customer_id")), ["name"], "dim_customer_id")
     j = staged.filter(F.col("quantity").isNotNull()).join(names, F.col("customer_text") == F.col("name"))
     order = F.concat_ws("-", F.coalesce("pr_code", F.lit(UNDEFINED)), F.coalesce("item", F.lit(UNDEFINED)))
-    return _facts(j, order, date_id("requested"), F.lit(0))
+    return _facts(j, order, date_id("requested"), F.lit(0), whole)
 
 
-def ntb_by_resolution(staged: DataFrame, lookups: list, placeholder: int) -> DataFrame:
-    """Customers through an ordered list of lookups (name, DC code, mapped child), else the region's placeholder;
+def ntb_by_resolution(staged: DataFrame, lookups: list, placeholder: int, whole: dict[str, Column] | None = None, by_line: bool = True) -> DataFrame:
+    """The order number is the request, ``by_line`` with its line (NORA); customers through an ordered list of lookups (name, DC code, mapped child), else the region's placeholder;
     delivery dates that are no dates drop out; quantities are multiplied by the pack size in the size text ('P6': 6)."""
     j = resolve(staged.filter(F.col("quantity").isNotNull()), lookups, "dim_customer_id", placeholder=placeholder)
     pack = F.coalesce(F.regexp_extract(F.coalesce("size", F.lit("")), r"^P(\d+)$", 1).try_cast("int"), F.lit(1))
     j = j.withColumn("_d", safe_date("delivery_text")).filter(F.col("_d").isNotNull()).withColumn("quantity", F.col("quantity") * pack)
-    order = F.concat_ws("-", F.coalesce("pr_code", F.lit(UNDEFINED)), F.coalesce("item", F.lit(UNDEFINED)))
-    return _facts(j, order, date_id("_d"), F.lit(0))
+    request = F.coalesce("pr_code", F.lit(UNDEFINED))
+    order = F.concat_ws("-", request, F.coalesce("item", F.lit(UNDEFINED))) if by_line else request
+    return _facts(j, order, date_id("_d"), F.lit(0), whole)
 
 
 def forecast(staged: DataFrame, calendar: DataFrame, season_col: str, materials: DataFrame, customers: DataFrame) -> DataFrame:

@@ -33,8 +33,23 @@ def _dims(m):
     return products, p.select("material_id", (F.col("dim_product_id") * 10).alias("id"))
 
 
+#: Text attribute of a staged row -> (prefix, modulus whose multiples lack it).
+TEXTS = {"so_code": ("SO", 7), "sold_party": ("party", 5), "smu": ("smu", 3), "order_reference": ("ref", 4), "sku_footlocker": ("sku", 6), "prepack_code": ("pp", 10),
+         "exp_delivery_with_constraint": ("with", 9), "location_country": ("LC", 8), "comment_region": ("why", 2), "customer_po_code": ("PO", 11), "ship_name": ("ship", 12),
+         "musical_cnt": ("mus", 13), "remarks": ("note", 14), "country_origin": ("CO", 15), "planning_notes": ("plan", 16)}
+
+
 def l10_need_to_buy(spark, sf_dir):
     """L10 (EMEA), L11 (APAC), L12 (CASA) and L13 (NORA) need-to-buy loads as facts by region."""
+    return _need_to_buy(spark, sf_dir, False)
+
+
+def l10_whole_facts(spark, sf_dir):
+    """L10-L13 with both quantities, the original date and the attributes that each region's rows carry."""
+    return _need_to_buy(spark, sf_dir, True)
+
+
+def _need_to_buy(spark, sf_dir, whole):
     m = Model(spark, sf_dir)
     run = F.lit(_run_date(m))
     products, materials = _dims(m)
@@ -56,8 +71,18 @@ def l10_need_to_buy(spark, sf_dir):
     text = F.when(k % 5 == 0, F.concat(F.lit("DC"), pad_key(number, 6))).when(k % 5 == 1, F.concat(F.lit("OLD"), number.cast("string"))).otherwise(F.col("customer_name"))
     date = F.when(k % 8 == 0, "no date").otherwise(F.date_format("demand_date", "yyyy-MM-dd"))
     loose = {"customer_text": text, "delivery_text": date, "size": F.when(k % 9 == 0, F.concat(F.lit("P"), (k % 7 + 2).cast("string"))).otherwise(F.col("size"))}
-    parts = [("EMEA", loads.ntb_emea(emea, cust, lead, m.calendar, run)), ("APAC", loads.ntb_apac(apac, cust)),
-             ("CASA", loads.ntb_by_resolution(known("CASA").withColumns(loose), [by[0], by[2]], -2)), ("NORA", loads.ntb_by_resolution(known("NORA").withColumns(loose), by, -3))]
+    casa, nora = known("CASA").withColumns(loose), known("NORA").withColumns(loose)
+    own = {r: None for r in ("EMEA", "APAC", "CASA", "NORA")}
+    if whole:
+        n = F.col("line_id")
+        extra = {"staged_material_id": F.when(k % 3 == 0, F.concat("material_id", F.lit("-XL"))).otherwise(F.substring("material_id", 1, 11)),
+                 "sap_quantity": F.when(k % 23 != 0, F.col("quantity") - n), "moq": (k * n % 50).cast("int"), "carton_qty": F.when(k % 17 != 0, (k % 12).cast("int")),
+                 "required": F.date_add("demand_date", n.cast("int")), "delivered": F.when(n % 2 == 0, F.date_format("demand_date", "yyyy-MM-dd")).otherwise("zz"),
+                 **{c: F.when(k % mod != 0, F.concat(F.lit(prefix), (k * n % 89).cast("string"))) for c, (prefix, mod) in TEXTS.items()}}
+        emea, apac, casa, nora = (x.withColumns(extra) for x in (emea, apac, casa, nora))
+        own = {r: loads.region_attributes(r) for r in own}
+    parts = [("EMEA", loads.ntb_emea(emea, cust, lead, m.calendar, run, own["EMEA"])), ("APAC", loads.ntb_apac(apac, cust, own["APAC"])),
+             ("CASA", loads.ntb_by_resolution(casa, [by[0], by[2]], -2, own["CASA"], by_line=not whole)), ("NORA", loads.ntb_by_resolution(nora, by, -3, own["NORA"]))]
     out = None
     for region, df in parts:
         df = df.select(F.lit(region).alias("region"), *df.columns)
@@ -90,6 +115,66 @@ SELECT region, order_number, dim_date_id, dim_customer_id, dim_product_id, is_as
 GROUP BY 1, 2, 3, 4, 5, 6""", "demand", "customer", "product", "calendar", local=_NTB_LOCAL))(l10_need_to_buy)
 
 
+def _text(name: str) -> str:
+    prefix, mod = TEXTS[name]
+    return f"CASE WHEN order_id % {mod} <> 0 THEN '{prefix}' || order_id * line_id % 89 END"
+
+
+_MATERIAL = "CASE WHEN order_id % 3 = 0 THEN material_id || '-XL' ELSE substr(material_id, 1, 11) END"
+_SIZE = "CASE WHEN order_id % 9 = 0 THEN 'P' || (order_id % 7 + 2) ELSE CAST(line_id AS VARCHAR) END"
+_PR0 = "CASE WHEN pr = 'UNDEFINED' THEN '' ELSE pr END"
+_ITEM0 = "CASE WHEN item = 'UNDEFINED' THEN '' ELSE item END"
+#: What each region's facts hold, as SQL over the staged rows (fact column -> aggregate).
+_REGION_SQL = {
+    "EMEA": {"material_id_sr": f"max({_MATERIAL})", "pr_code": f"max({_PR0})", "so_code": f"max({_text('so_code')})", "sold_to_customer_name": f"max({_text('sold_party')})",
+             "mcq": "CAST(max(order_id * line_id % 50) AS INTEGER)", "smu": f"max({_text('smu')})", "order_reference": f"max({_text('order_reference')})",
+             "sku_footlocker": f"max({_text('sku_footlocker')})", "prepack_code": f"max({_text('prepack_code')})",
+             "exp_delivery_with_constraint": f"max({_text('exp_delivery_with_constraint')})",
+             "exp_delivery_without_constraint": "max(CASE order_id % 4 WHEN 0 THEN 'asap' WHEN 1 THEN 'soon' ELSE 'CW ' || weekofyear(demand_date) END)",
+             "coo": f"max({_text('location_country')})", "remarks_region": f"max({_text('comment_region')})"},
+    "APAC": {"material_id_sr": f"max({_MATERIAL})", "pr_code": f"max({_PR0})", "pr_cut_code": f"max({_ITEM0})", "so_code": f"max({_text('so_code')})",
+             "po_code_customer": f"max({_text('customer_po_code')})", "comment_region": f"max({_text('comment_region')})", "customer_requested_xf_dt": "max(demand_date)",
+             "original_customer_requested_dt": "max(demand_date)", "sold_to_customer_name": f"max({_text('ship_name')})", "mcq": "CAST(max(order_id * line_id % 50) AS INTEGER)",
+             "musical_cnt": f"max({_text('musical_cnt')})", "remarks_region": f"max({_text('remarks')})", "carton_qty": "CAST(max(CASE WHEN order_id % 17 <> 0 THEN order_id % 12 END) AS INTEGER)"},
+    "CASA": {"material_id_sr": f"max({_MATERIAL})", "pr_code": "max(pr)", "po_code_customer": f"max({_text('customer_po_code')})", "comment_region": f"max({_text('comment_region')})",
+             "customer_requested_xf_dt": "max(demand_date)", "original_customer_requested_dt": "max(demand_date)", "sold_to_customer_name": "'CASA'",
+             "mcq": "CAST(max(order_id * line_id % 50) AS INTEGER)", "smu": f"max({_text('smu')})", "order_reference": f"max({_text('order_reference')})",
+             "sku_footlocker": f"max({_text('sku_footlocker')})", "prepack_code": f"max({_text('prepack_code')})", "coo": f"max({_text('country_origin')})",
+             "remarks_region": f"max({_text('comment_region')})"},
+    "NORA": {"material_id_sr": f"max({_MATERIAL})", "pr_code": f"max({_PR0})", "pr_cut_code": f"max({_ITEM0})", "so_code": f"max(coalesce({_text('so_code')}, ''))",
+             "po_code_customer": f"max(coalesce({_text('customer_po_code')}, ''))", "comment_region": f"max(coalesce({_text('planning_notes')}, ''))",
+             "customer_requested_xf_dt": "max(demand_date)", "original_customer_requested_dt": "max(demand_date + line_id)",
+             "sold_to_customer_name": f"max(coalesce({_text('sold_party')}, ''))",
+             "mcq": f"CASE WHEN length(max({_MATERIAL})) = 11 THEN 1 ELSE TRY_CAST(right(max({_SIZE}), 2) AS INTEGER) END",
+             "delivery_d": "TRY_CAST(max(CASE WHEN line_id % 2 = 0 THEN strftime(demand_date, '%Y-%m-%d') ELSE 'zz' END) AS DATE)", "smu": f"max({_text('smu')})"}}
+
+
+def _region_sql(region: str, order: str, date: str, customer: str, asap: str, where: str, pack: str = "1") -> str:
+    kinds = {"string": "VARCHAR", "int": "INTEGER", "date": "DATE"}
+    cols = ", ".join(f"CAST({_REGION_SQL[region].get(n, 'NULL')} AS {kinds[kind]}) AS {n}" for n, kind in loads.ATTRIBUTES.items())
+    return (f"SELECT region, {order} AS order_number, {date} AS dim_date_id, {customer} AS dim_customer_id, pid AS dim_product_id, {asap} AS is_asap, "
+            f"CAST(sum(quantity * {pack}) AS BIGINT) AS quantity_lum, CAST(sum(CASE WHEN order_id % 23 <> 0 THEN quantity - line_id END) AS BIGINT) AS quantity_non_lum, "
+            f"{cols}, {date} AS dim_date_id_original FROM sw CROSS JOIN run LEFT JOIN mondays ON order_id % 4 > 1 AND week_accounting = weekofyear(demand_date) "
+            f"WHERE region = '{region}' AND {where} GROUP BY ALL")
+
+
+_ASAP_DATE = (f"CASE WHEN order_id % 4 = 0 THEN CASE WHEN p % 3 = 0 OR production_lt = 110 THEN {sql_date_id('(r + 103)')} ELSE {sql_date_id('(r + 73)')} END ELSE monday END")
+_PACK = "CASE WHEN order_id % 9 = 0 THEN order_id % 7 + 2 ELSE 1 END"
+
+
+def _by_name(placeholder: int, dc: bool) -> str:
+    return (f"CASE order_id % 5 WHEN 0 THEN {'cid' if dc else placeholder} WHEN 1 THEN CASE WHEN cid % 2 = 0 THEN cid ELSE {placeholder} END ELSE cid END")
+
+
+query("l10_whole_facts", sql(" UNION ALL ".join([
+    _region_sql("EMEA", "pr", _ASAP_DATE, "cid", "CAST(order_id % 4 = 0 AS INTEGER)", "(order_id % 4 = 0 OR monday IS NOT NULL)"),
+    _region_sql("APAC", "pr || '-' || item", sql_date_id("demand_date"), "cid", "0", "order_id % 7 <> 0"),
+    _region_sql("CASA", "pr", sql_date_id("demand_date"), _by_name(-2, False), "0", "order_id % 8 <> 0", _PACK),
+    _region_sql("NORA", "pr || '-' || item", sql_date_id("demand_date"), _by_name(-3, True), "0", "order_id % 8 <> 0", _PACK)]),
+    "demand", "customer", "product", "calendar",
+    local=(*_NTB_LOCAL, ("sw", "SELECT st.*, product.material_id FROM st JOIN product ON dim_product_id = p"))))(l10_whole_facts)
+
+
 def l02_forecasts(spark, sf_dir):
     """L02 (APAC, label 'SSYY MMM' of the buy season), L03 (EMEA, CRD season) and L04 (NORA, long buy season) forecasts."""
     m = Model(spark, sf_dir)
