@@ -5,11 +5,13 @@ work is proportional to the distinct keys, not to the fact."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def _finding(df: DataFrame, value, source: str, category: str) -> DataFrame:
     return df.select(F.lit(source).alias("source"),
                      F.lit(category).alias("category"), value.cast("string").alias("value"))
@@ -56,3 +58,36 @@ def run_suite(findings: list[DataFrame], system: str) -> DataFrame:
     """The union of a data-driven list of checks, under a system's name."""
     out = reduce(lambda a, b: a.unionByName(b), findings).distinct()
     return out.select(F.lit(system).alias("system"), *out.columns)
+
+
+@dataclass(frozen=True)
+class Check:
+    """One check of a suite: the rows' ``key`` must be in the named reference -- a key that is NULL never is -- or, without
+    a reference, the rows that ``broken`` holds for are findings.  ``shown`` is what a finding reports, NULL as ''."""
+    category: str
+    shown: Column
+    key: Column | None = None
+    reference: str | None = None
+    broken: Column | None = None
+
+
+def suite_values(df: DataFrame, source: Column, suites: dict[str, list[Check]]) -> DataFrame:
+    """(source, category, reference, key, value): the distinct values that the checks of each row's own source look at, from
+    one pass over ``df``; without a reference, only what is broken."""
+    def values(checks):
+        return F.array(*[F.struct(
+            F.lit(c.category).alias("category"), F.lit(c.reference).alias("reference"), (F.lit(None) if c.key is None else c.key).cast("string").alias("key"),
+            F.coalesce(c.shown.cast("string"), F.lit("")).alias("value"), (F.lit(True) if c.broken is None else F.coalesce(c.broken, F.lit(False))).alias("held")) for c in checks])
+
+    own = reduce(lambda w, item: w.when(source == item[0], values(item[1])), list(suites.items())[1:],
+                 F.when(source == next(iter(suites)), values(next(iter(suites.values())))))
+    return df.select(source.alias("source"), F.explode(own).alias("c")).filter("c.held").select("source", "c.category", "c.reference", "c.key", "c.value").distinct()
+
+
+def suite_findings(values: list[DataFrame], references: dict[str, DataFrame], system: str) -> DataFrame:
+    """The findings of all suites from one join with one long table of (reference, key), which holds each
+    reference (a one-column table) once."""
+    held = reduce(DataFrame.unionByName, values)
+    table = reduce(DataFrame.unionByName, [d.select(F.lit(n).alias("reference"), F.col(d.columns[0]).cast("string").alias("key")) for n, d in references.items()])
+    found = held.join(table.distinct(), ["reference", "key"], "left_anti")
+    return found.select(F.lit(system).alias("system"), "source", "category", "value").distinct()
