@@ -34,7 +34,8 @@ def resolve(df: DataFrame, lookups: list[tuple[DataFrame, list[tuple[str, str]],
     hits = []
     for i, (tbl, on, id_col) in enumerate(lookups):
         alias = f"_hit{i}"
-        t = tbl.select(*[F.col(tc).alias(f"_k{i}_{j}") for j, (_dc, tc) in enumerate(on)], F.col(id_col).alias(alias))
+        # one id for each key, so that a key that repeats in the lookup cannot multiply rows
+        t = tbl.groupBy(*[F.col(tc).alias(f"_k{i}_{j}") for j, (_dc, tc) in enumerate(on)]).agg(F.max(id_col).alias(alias))
         cond = reduce(lambda a, b: a & b, [cur[dc] == t[f"_k{i}_{j}"] for j, (dc, _tc) in enumerate(on)])
         cur = cur.join(t, cond, "left").drop(*[f"_k{i}_{j}" for j in range(len(on))])
         hits.append(F.col(alias))
@@ -75,12 +76,63 @@ def semi(df: DataFrame, other: DataFrame, on) -> DataFrame:
     return df.join(other, on, "left_semi")
 
 
+#: Bands up to which they are broadcast and tested one by one; more of them are joined by blocks.
+FEW_BANDS = 64
+#: Bits of a block's number below its parent's, and levels of blocks that 64 bits have.
+BLOCK_BITS, BLOCK_LEVELS = 4, 16
+
+
+def _numbered(blocks: Column, level: int) -> Column:
+    return F.transform(blocks, lambda x: F.struct(F.lit(level).alias("level"), x.alias("block")))
+
+
+def band_blocks(bands: DataFrame, lo: str, hi: str) -> DataFrame:
+    """``bands`` with (_level, _block): each band as the fewest aligned blocks that cover it exactly, at most thirty of a
+    level.  A block of level l holds the numbers whose value shifted right by 4 l bits is its number."""
+    out = bands.withColumns({"_a": F.col(lo).cast("long"), "_b": F.col(hi).cast("long")})
+    parts = []
+    low, high = "_a", "_b"
+    for level in range(BLOCK_LEVELS):
+        up, down = f"_a{level}", f"_b{level}"
+        out = out.withColumns({up: F.shiftright(F.col(low) + (1 << BLOCK_BITS) - 1, BLOCK_BITS), down: F.shiftright(F.col(high) + 1, BLOCK_BITS) - 1})
+        none = F.array().cast("array<long>")
+
+        def between(x, y):
+            return F.when(x <= y, F.sequence(x, y)).otherwise(none)
+
+        inner = F.col(up) <= F.col(down)  # whole blocks of the next level lie inside
+        own = F.when(inner, F.concat(between(F.col(low), F.shiftleft(up, BLOCK_BITS) - 1), between(F.shiftleft(F.col(down) + 1, BLOCK_BITS), F.col(high)))).otherwise(
+            between(F.col(low), F.col(high)))
+        parts.append(_numbered(own, level))
+        # an interval that ended here is empty from now on
+        out = out.withColumns({up: F.when(inner, F.col(up)).otherwise(F.lit(1).cast("long")), down: F.when(inner, F.col(down)).otherwise(F.lit(0).cast("long"))})
+        low, high = up, down
+    out = out.select(*bands.columns, F.explode(F.concat(*parts)).alias("_p"))
+    return out.select(*bands.columns, F.col("_p.level").alias("_level"), F.col("_p.block").alias("_block"))
+
+
 def band_join(df: DataFrame, bands: DataFrame, value_col: str, lo: str = "start_date_id", hi: str = "end_date_id",
               how: str = "inner") -> DataFrame:
-    """Membership of a value in [lo, hi] bands.  ``bands`` must be a small table of fixed size
-    (e.g. the three planning horizons); it is broadcast and the range test runs in the scan task."""
-    b = F.broadcast(bands)
-    return df.join(b, (df[value_col] >= b[lo]) & (df[value_col] <= b[hi]), how)
+    """Membership of a whole number in [lo, hi] bands, of which there may be any number (inner or left).
+
+    A few bands (counted first) are broadcast and tested one by one; more are cut into aligned blocks, and a row meets the
+    blocks that hold its value, one for each level in use, by an equality join without hints."""
+    if how not in ("inner", "left"):
+        raise ValueError("bands join inner or left")
+    if bands.count() <= FEW_BANDS:
+        b = F.broadcast(bands)
+        return df.join(b, (df[value_col] >= b[lo]) & (df[value_col] <= b[hi]), how)
+    blocks = band_blocks(bands, lo, hi)
+    levels = sorted(r[0] for r in blocks.select("_level").distinct().collect())  # sixteen at most
+    value = F.col(value_col).cast("long")
+    at = F.array(*[F.struct(F.lit(n).alias("level"), F.shiftright(value, BLOCK_BITS * n).alias("block")) for n in levels])
+    rows = df.withColumn("_p", F.explode(at)).withColumns({"_level": F.col("_p.level"), "_block": F.col("_p.block")}).drop("_p")
+    found = rows.join(blocks, ["_level", "_block"]).drop("_level", "_block")
+    if how == "inner":
+        return found
+    held = found.select(F.col(value_col).alias("_held")).distinct()
+    rest = df.join(held, df[value_col] == held["_held"], "left_anti")
+    return found.unionByName(rest, allowMissingColumns=True)
 
 
 def scalar(one_row: DataFrame) -> dict:

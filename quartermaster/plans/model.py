@@ -65,6 +65,10 @@ TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "li
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+#: Years of the facts by application and version of the files.
+_YEARS: dict[str, dict[int, list[int]]] = {}
+
+
 def _case(col: Column, mapping: dict, default=None) -> Column:
     expr = None
     for k, v in mapping.items():
@@ -159,12 +163,22 @@ class Model:
                          party.alias("sold_to_party"),
                          F.col("c_mktsegment").alias("market")))
 
+    def _years(self) -> list[int]:
+        """The first and last years of the facts' dates: one pass over the two date columns for each version of the files in
+        a session (the files' names stand for the version), not one for each query."""
+        line, order = self.table("lineitem"), self.table("orders")
+        known = _YEARS.setdefault(self.spark.sparkContext.applicationId, {})
+        version = hash((tuple(sorted(line.inputFiles())), tuple(sorted(order.inputFiles()))))
+        if version not in known:
+            ends = scalar(line.agg(F.min("l_shipdate").cast("date").alias("a"), F.max("l_shipdate").cast("date").alias("b"))
+                          .crossJoin(order.agg(F.min("o_orderdate").cast("date").alias("c"), F.max("o_orderdate").cast("date").alias("d"))))
+            known[version] = [d.year for d in ends.values() if d is not None]
+        return known[version]
+
     @cached_property
     def calendar(self) -> DataFrame:
         from ..operators.calendar import fiscal_calendar
-        ends = scalar(self.table("lineitem").agg(F.min("l_shipdate").cast("date").alias("a"), F.max("l_shipdate").cast("date").alias("b"))
-                      .crossJoin(self.table("orders").agg(F.min("o_orderdate").cast("date").alias("c"), F.max("o_orderdate").cast("date").alias("d"))))
-        years = [d.year for d in ends.values() if d is not None]
+        years = self._years()
         start = min([CAL_START, *(f"{y - 1:04d}-01-01" for y in years if f"{y:04d}-01-01" <= CAL_START)])
         end = max([CAL_END, *(f"{y + 1:04d}-12-31" for y in years if f"{y:04d}-12-31" >= CAL_END)])
         return fiscal_calendar(self.spark, start, end, CAL_FIRST_MONTH, CAL_EXTRA_MONTH)

@@ -202,6 +202,20 @@ GROUP BY horizon, horizon_name""", "demand",
     local=(("run", "SELECT CAST(date_trunc('month', max(o_orderdate)) - INTERVAL 24 MONTH AS DATE) AS r FROM orders"),)))(j_band_horizon)
 
 
+def j_many_bands(spark, sf_dir):
+    """J19 with as many bands as there are parts: the lines whose material lies in a part's band, by the part's size."""
+    m = Model(spark, sf_dir)
+    key, size = F.col("p_partkey"), F.col("p_size")
+    bands = m.table("part").select("p_size", (key * 3 - size % 9).alias("lo"), (key * 3 + size % 25).alias("hi"))
+    j = lk.band_join(m.lines.select("dim_product_id", "quantity"), bands, "dim_product_id", "lo", "hi", "left")
+    return j.groupBy("p_size").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("quantity").alias("quantity"))
+
+
+query("j_many_bands", sql("""
+SELECT p_size, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+FROM lineitem LEFT JOIN part ON l_partkey BETWEEN p_partkey * 3 - p_size % 9 AND p_partkey * 3 + p_size % 25 GROUP BY 1"""))(j_many_bands)
+
+
 def j_merge_frames(spark, sf_dir):
     """J21 configurable merge (aggregate the right side first, keep left columns), J22 vertical fold."""
     m = Model(spark, sf_dir)
