@@ -2,7 +2,7 @@
 
 Pass 1 parses every page and scores its containers: text in blocks, less what lies in links, weighed by how article-like
 or menu-like the container's tag and class are.  A container's path of tags and classes is generalised (digits become
-#, positions are dropped), and the page's best paths vote.  Votes are summed for each host and path in Spark, salted first,
+#, positions are dropped), and every path with a score votes.  Votes are summed for each host and path in Spark, salted first,
 so a host that holds a third of all pages is never gathered in one task, and all voted paths are kept.  Pass 2 brings to
 each page the votes for the paths that it has and extracts it again: with the path that is best by the host's votes times
 the page's own score, paths left out that only surround a better one; without votes, with its own best container.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,8 +28,12 @@ from pyspark.sql import types as T
 
 from quartermaster.llm.common import cut, map_batches, schema_of
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?=[\s=>/]|\Z)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: A tag's attributes by the states of the standard's tokenizer: a quote opens a value only right after the equals sign;
+#: in names and unquoted values it is a character like any other.  Atomic, so a page is scanned once.
+ATTRIBUTES = (r"(?>[\s/]++|[^\s/>][^\s/>=]*+(?>\s*+=\s*+(?>\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+|(?=>)|\Z))?+)*+")
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)(" + ATTRIBUTES + r")(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>\"'][^\s>]*))?)?+")
+READ = frozenset("class id role hidden aria-hidden style".split())
 BLANKS = re.compile(r"\s+")
 DIGITS = re.compile(r"\d+")
 
@@ -52,26 +57,38 @@ BOILERPLATE = re.compile(
     r"subscri\w*|nav|navbar|navigation|menu\w*|breadcrumb\w*|sidebar\w*|side|aside|widget\w*|footer\w*|header|masthead|topbar|"
     r"toolbar|comment\w*|disqus\w*|respond|reply|replies|share|sharing|social\w*|related|recommend\w*|pagination|pager|skip|"
     r"search\w*|login|signup|byline-share|tags|tagcloud|copyright|legal|disclaimer|gdpr)(?:$|[\s_-])", re.I)
+#: Elements that hold running text: their class must name boilerplate more plainly, as articles have headers and legal notes.
+TEXTS = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th tr pre blockquote figure figcaption span em strong b i a code".split())
+TEXT_BOILERPLATE = re.compile(
+    r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner\w*|sponsor\w*|promo\w*|cookie\w*|consent|popup|modal|newsletter|subscri\w*|nav|navbar|"
+    r"navigation|menu\w*|breadcrumb\w*|sidebar\w*|widget\w*|footer\w*|masthead|topbar|toolbar|comment\w*|disqus\w*|share|sharing|"
+    r"social\w*|pagination|pager|login|signup|byline-share|tagcloud|copyright|gdpr)(?:$|[\s_-])", re.I)
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 ARTICLE_LIKE = re.compile(r"(?:^|[\s_-])(?:article\w*|post|story\w*|content|main|entry|text|body|blog)(?:$|[\s_-])", re.I)
 TAG_WEIGHT = {"article": 3.0, "main": 2.0, "section": 1.1, "div": 1.0, "td": 0.9, "center": 0.9, "blockquote": 0.6, "body": 0.5}
-VOTES = 3
 #: Share of a voted container's score at which a container around it is a bare one.
 BARE = 0.5
 SALTS = 64
 
 
 class Node:
-    __slots__ = ("tag", "label", "parent", "items", "skip", "inline")
+    __slots__ = ("tag", "label", "parent", "items", "skip", "inline", "path")
 
     def __init__(self, tag: str, label: str, parent: "Node | None", skip: bool):
         self.tag, self.label, self.parent, self.skip = tag, label, parent, skip
         self.items: list = []  # texts and nodes in order
         self.inline = tag in INLINE
+        # the generalised path of tags and classes as a chain of hashes, so that deep pages stay small
+        self.path = b"" if parent is None else parent.path if self.inline or tag == "html" else xxhash.xxh128_digest(parent.path + label.encode())
 
 
 def attributes(raw: str) -> dict[str, str]:
-    return {m[1].lower(): html_lib.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
+    """The attributes that are read; of a repeated one the first counts."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(raw):
+        if (name := m[1].lower()) in READ:
+            found.setdefault(name, html_lib.unescape(m[2] or m[3] or m[4] or ""))
+    return found
 
 
 def new_node(tag: str, raw: str, parent: Node) -> Node:
@@ -81,7 +98,7 @@ def new_node(tag: str, raw: str, parent: Node) -> Node:
     label = DIGITS.sub("#", tag + ("." + first[0] if first else ""))
     skip = (tag in SKIPPED or "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in BOILERPLATE_ROLES
             or "display:none" in a.get("style", "").replace(" ", "").lower()
-            or (tag not in ("html", "body", "article", "main") and bool(names.strip()) and bool(BOILERPLATE.search(names))))
+            or (tag not in ("html", "body", "article", "main") and bool(names.strip()) and bool((TEXT_BOILERPLATE if tag in TEXTS else BOILERPLATE).search(names))))
     return Node(tag, label, parent, skip)
 
 
@@ -93,6 +110,17 @@ def parse(source: str) -> Node:
     """A tree of a page, comments and the insides of scripts and styles left out."""
     root = node = Node("#root", "", None, False)
     at, n = 0, len(source)
+    opened: Counter[str] = Counter()  # open elements by tag, so a search for one that is not open ends at once
+
+    def close(up: Node) -> Node:
+        """Ends the open elements up to and with ``up``."""
+        at_ = node
+        while True:
+            opened[at_.tag] -= 1
+            if at_ is up:
+                return up.parent
+            at_ = at_.parent
+
     while at < n:
         m = TOKEN.search(source, at)
         if not m:
@@ -107,20 +135,20 @@ def parse(source: str) -> Node:
                 node.items.append(m[0][9:].removesuffix("]]>"))
             continue
         if m[1]:
-            up = node
+            up = node if opened[tag] else root
             while up is not root and up.tag != tag:
                 if up.tag in BOXES and tag in INLINE | {"p", "li"}:  # a stray end tag does not leave its box
                     up = root
                     break
                 up = up.parent
             if up is not root:
-                node = up.parent
+                node = close(up)
             continue
         if tag not in INLINE and tag not in RAW:
-            up = node
+            up = node if (tag in P_CLOSERS and opened["p"]) or any(opened[t] for t in SAME.get(tag, ())) else root
             while up is not root and not (up.tag in BOXES and not closes(tag, up.tag)):
                 if closes(tag, up.tag):
-                    node = up.parent
+                    node = close(up)
                     break
                 up = up.parent
         child = new_node(tag, m[3], node)
@@ -130,8 +158,9 @@ def parse(source: str) -> Node:
             if tag in ("noscript", "iframe", "template"):
                 child.skip = True
             at = end.end() if end else n
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif tag not in VOID:  # as in the standard, a closing slash says nothing
             node = child
+            opened[tag] += 1
     return root
 
 
@@ -167,22 +196,13 @@ def blocks(node: Node) -> list[str]:
     return out
 
 
-def path_of(node: Node) -> str:
-    labels = []
-    while node.parent is not None:
-        if node.tag not in ("html",) and not node.inline:
-            labels.append(node.label)
-        node = node.parent
-    return ">".join(reversed(labels))
-
-
-def measure(root: Node) -> list[tuple[float, str, Node]]:
+def measure(root: Node) -> list[tuple[float, bytes, Node]]:
     """(score, generalised path, node) of every container outside boilerplate, in page order.
 
     A container's text is what its own blocks hold, and half of what its inner containers hold, so that the innermost
     container around the paragraphs wins over the ones around it.
     """
-    found: list[tuple[float, str, Node]] = []
+    found: list[tuple[float, bytes, Node]] = []
     own: dict[int, list[float]] = {}  # text and link text of nodes whose children are done
     stack: list[tuple[Node, bool, bool]] = [(root, False, False)]
     while stack:
@@ -207,29 +227,24 @@ def measure(root: Node) -> list[tuple[float, str, Node]]:
         own[id(node)] = [text, link]
         if node.tag in CONTAINERS:
             weight = TAG_WEIGHT[node.tag] * (1.5 if ARTICLE_LIKE.search(node.label.partition(".")[2]) else 1.0)
-            found.append(((text - link) * weight * (1 - link / (text + 1)), path_of(node), node))
+            found.append(((text - link) * weight * (1 - link / (text + 1)), node.path, node))
     return found
 
 
-def path_scores(found: list[tuple[float, str, Node]]) -> dict[str, float]:
+def path_scores(found: list[tuple[float, bytes, Node]]) -> dict[bytes, float]:
     """Scores of the page's paths above zero, as shares of the best one's."""
-    scores: dict[str, float] = {}
+    scores: dict[bytes, float] = {}
     for s, p, _ in found:
         scores[p] = scores.get(p, 0.0) + s
     best = max(scores.values(), default=0.0)
     return {p: s / best for p, s in scores.items() if s > 0}
 
 
-def page_votes(scores: dict[str, float]) -> dict[str, float]:
-    """The page's best paths and their scores."""
-    return dict(sorted(scores.items(), key=lambda f: (f[1], f[0]), reverse=True)[:VOTES])
+def path_key(host: str, path: bytes) -> bytes:
+    return xxhash.xxh128_digest(host.encode() + b"\n" + path)
 
 
-def path_key(host: str, path: str) -> bytes:
-    return xxhash.xxh128_digest(f"{host}\n{path}")
-
-
-def consensus(found: list[tuple[float, str, Node]], votes: dict[str, tuple[float, int]]) -> str | None:
+def consensus(found: list[tuple[float, bytes, Node]], votes: dict[bytes, tuple[float, int]]) -> bytes | None:
     """The page's path with the most of its host's votes (sum, pages) times its own score.
 
     Every page has a small vote for the containers around its text, so on a large host their votes are many.  Such a
@@ -238,7 +253,7 @@ def consensus(found: list[tuple[float, str, Node]], votes: dict[str, tuple[float
     """
     own = {p: s for p, s in path_scores(found).items() if p in votes}
     inside: dict[int, float] = {}  # the best score of voted paths inside a node; inner nodes come first
-    best: dict[str, float] = {}
+    best: dict[bytes, float] = {}
     for _, p, node in found:
         within = inside.pop(id(node), 0.0)
         best[p] = max(best.get(p, 0.0), within)
@@ -252,12 +267,12 @@ def consensus(found: list[tuple[float, str, Node]], votes: dict[str, tuple[float
     return max(kept, key=lambda f: (f[0], f[1]), default=(0.0, None))[1]
 
 
-def extract(source: str | None, winners: list[str], votes: dict[bytes, tuple[float, int]] | None = None, host: str = "") -> str:
+def extract(source: str | None, winners: list[bytes], votes: dict[bytes, tuple[float, int]] | None = None, host: str = "") -> str:
     """Text of the nodes on the path that ``votes`` (by path key) make best, else on the first of ``winners`` that the page
     has; without one, of its best container, else of all."""
     root = parse(source or "")
     found = measure(root)
-    by_path: dict[str, list[Node]] = {}
+    by_path: dict[bytes, list[Node]] = {}
     for s, p, node in found:
         if s > 0:
             by_path.setdefault(p, []).append(node)
@@ -268,14 +283,8 @@ def extract(source: str | None, winners: list[str], votes: dict[bytes, tuple[flo
     if nodes is None:
         best = max(found, key=lambda f: f[0], default=None)
         nodes = [best[2]] if best and best[0] > 0 else [root]
-    inner = set()
-    for node in nodes:  # a container inside another on the same path is part of it
-        up = node.parent
-        while up is not None and up not in nodes:
-            up = up.parent
-        if up is not None:
-            inner.add(id(node))
-    return "\n".join(b for node in nodes if id(node) not in inner for b in blocks(node))
+    # nodes on one path have the same number of boxes around them, so none is inside another
+    return "\n".join(b for node in nodes for b in blocks(node))
 
 
 def with_keys(pages: DataFrame, key: str, url: str, source: str) -> DataFrame:
@@ -292,8 +301,7 @@ def voted_paths(own: DataFrame) -> DataFrame:
         rows = []
         for host, page, source in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html"))):
             scores = path_scores(measure(parse(source or "")))
-            votes = page_votes(scores)
-            rows += [(page, path_key(host, p), votes.get(p)) for p in scores]
+            rows += [(page, path_key(host, p), s) for p, s in scores.items()]
         return dict(zip(("page", "path", "vote"), zip(*rows))) if rows else {"page": [], "path": [], "vote": []}
 
     kinds = schema_of(("page", T.BinaryType()), ("path", T.BinaryType()), ("vote", T.DoubleType()))
