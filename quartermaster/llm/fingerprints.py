@@ -5,7 +5,8 @@ by lane and modulo a power of two, of wide vectors hashed from its members, so i
 inserting or deleting a paragraph adds or subtracts that paragraph's vector.  It has two parts:
 
 * 32 lanes modulo 2^32 of whole paragraphs: equal multisets are equal here, different ones differ but for chance;
-* 256 lanes modulo 2^32 of the paragraphs' phrases, each with entries +1 or -1: the products of two sums estimate how
+* 256 lanes modulo 2^32 of the paragraphs' phrases, each told apart by how often its paragraph held it before, with
+  entries +1 or -1: the products of two sums estimate how
   many phrases two texts share (the error is about 1/sqrt(256)), which gives the likeness.  A text of up to 2 GB, the
   most a row holds, has fewer than 2^31 phrases, so no lane wraps.
 
@@ -147,7 +148,11 @@ def fingerprint(text: str) -> bytes:
     for line in text.split("\n"):
         if words := line.encode().split():
             whole.append(xxhash.xxh64_intdigest(b" ".join(words), SEED_PARAGRAPH))
-            parts += [xxhash.xxh64_intdigest(p, SEED_PHRASE) for p in phrases(words)]
+            seen: dict[bytes, int] = {}
+            for p in phrases(words):
+                # a phrase that its paragraph holds several times counts as so many different ones, not as its square
+                seen[p] = n = seen.get(p, -1) + 1
+                parts.append(xxhash.xxh64_intdigest(p, SEED_PHRASE + n))
     return (paragraph_vector(np.array(whole, np.uint64)).astype("<u4").tobytes()
             + phrase_vector(np.array(parts, np.uint64)).astype("<i4").tobytes())
 
