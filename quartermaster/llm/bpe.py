@@ -401,10 +401,17 @@ class PieceCache(dict):
                         self.pop(p, None)
 
 
+def one_special(v: Vocabulary) -> str | None:
+    """The special string of a vocabulary that has one; texts are split by one only, so more of them are refused."""
+    if len(v.special) > 1:
+        raise ValueError(f"vocabularies with several special strings are not supported: {sorted(v.special)}")
+    return next(iter(v.special), None)
+
+
 class Encoder:
     def __init__(self, path: str, specials: bool = False):
         self.vocabulary = v = load_vocabulary(path)
-        self.special = next(iter(v.special.items())) if specials and v.special else None
+        self.special = (one_special(v), v.special[one_special(v)]) if specials and v.special else None
         self.cache = PieceCache(self.merged)
         size = max(v.bytes_of) + 1
         self.lengths = np.zeros(size, np.int64)

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermaster.llm.bpe import (LONG_PIECE, PairTable, PieceCache, load_vocabulary, piece_runs,
-                                   texts_of)
+from quartermaster.llm.bpe import (LONG_PIECE, PairTable, PieceCache, load_vocabulary, one_special,
+                                   piece_runs, texts_of)
 from quartermaster.llm.common import map_batches, schema_of
 
 UNKNOWN = 2
@@ -34,7 +34,7 @@ CACHE_PAIRS = 1_000_000
 class PrefixCounter:
     def __init__(self, path: str):
         self.vocabulary = v = load_vocabulary(path)
-        self.special = next(iter(v.special), None)
+        self.special = one_special(v)
         listed = list(v.ids)
         _, counts = v.merge_many(listed)
         own = [b for b, n in zip(listed, counts.tolist()) if n == 1]  # tokens that encode to themselves
