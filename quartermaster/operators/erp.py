@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import add_months
 
-# fixed values: product groups and order types that belong to the business, and stores and sources that do not.
-PRODUCT_GROUPS = ["50 VANS FOOTWEAR", "503", "503 VN_Footwear", "508", "508 VN_Snow Footwear", "56 VANS SNOWBOOTS", "VANS Footwear", "VANS FOOTWEAR",
-                  "VANS Snowboots", "VANS SNOWBOOTS", "VF  Vans Footwear", "VN_Footwear", "VN_Snow Footwear", "VS  Vans Snowboots"]
+# fixed values: order types that belong to the business, and stores and sources that do not.  The product groups of a
+# business carry its name, so the caller brings them.
 ORDER_TYPES = ["DS", "DYO", "PG", "REGULAR", "ZCS", "ZCUS", "ZDIR", "ZFGP", "ZOT", "ZRDS", "ZTP", "ZVFL", "ZVFS", "Z002", "Z003", "Z004"]
 OTHER_SOURCES = ["DIRECT BRAZIL"]
 CANCELED = "CANCELED"
@@ -29,24 +28,24 @@ TRIMMED = {
     "shipment_id": "shipment", "source_system": "misc21", "dc_name": "shipname", "sales_order": "misc27"}
 
 
-def wanted_headers(header: DataFrame, run_date: Column) -> DataFrame:
+def wanted_headers(header: DataFrame, run_date: Column, product_groups: list[str]) -> DataFrame:
     """Order headers of the business whose revised date lies in the month before the run date or later.  As in the source, a
     code that is missing fails its filter."""
     c = F.col
     return header.filter(
-        (c("revdd") >= add_months(run_date, -1)) & ~c("misc6").isin(OTHER_SOURCES) & c("misc1").isin(PRODUCT_GROUPS)
+        (c("revdd") >= add_months(run_date, -1)) & ~c("misc6").isin(OTHER_SOURCES) & c("misc1").isin(product_groups)
         & ~((c("qtyship") == 0) & (c("done") == 1)) & (c("polocation") != CANCELED) & c("misc25").isin(ORDER_TYPES) & ~c("store_no").isin(OTHER_STORES))
 
 
 def extract_orders(header: DataFrame, line: DataFrame, shipped: DataFrame, shipment: DataFrame, shipmast: DataFrame, scale: DataFrame,
-                   run_date: Column) -> DataFrame:
+                   run_date: Column, product_groups: list[str]) -> DataFrame:
     """One row for each order line and shipment of it, with the shipment's closing, the store's name and quantities scaled
     by the size's factor.
 
     The header filters act on the big tables before those are dealt out by their own keys: lines meet only the wanted
     headers, and shipped lines are first reduced to the seasons, styles and lots that those name (a semi-join that AQE
     broadcasts when the month's headers are few)."""
-    head = wanted_headers(header, run_date)
+    head = wanted_headers(header, run_date, product_groups)
     lots = head.select("season", "style", "lot").distinct()
     sent = shipped.withColumnRenamed("cut", "lot").join(lots, ["season", "style", "lot"], "left_semi")
     lines = head.join(line.filter(F.col("qty") != 0), "id_cut")

@@ -172,6 +172,7 @@ DC_APAC = [(["China%"], "X16"), (["Korea%"], "X15"), (["India%"], "X12"), (["MY%
 DI_BULK_NORA_CASA = [(["Canada%"], "X11"), (["US%"], "X13"), (["Mexico%"], "X19"), (["International%"], "X19")]
 DI_LEAD_NORA_CASA = [(["Canada%"], "X11"), (["US%"], "X13"), (["Mexico%"], "X19")]
 DI_APAC = [(["Korea%"], "X15"), (["APAC Direct%"], "X19")]
+# fixed values: the programs of the retail quick turn, and the least lead time in days of the routing.
 RQT_PROGRAMS = ["Retail Quick Turn", "Retail Quick Turn Built To Forecast"]
 LEAD_DAYS = 73
 

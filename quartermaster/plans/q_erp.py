@@ -10,6 +10,8 @@ from .model_sql import sql
 from .registry import query
 
 RUN_DATE = "2000-03-15"
+#: Test binding of the business's product groups.
+PRODUCT_GROUPS = ["50 FOOTWEAR", "503", "503 FOOTWEAR", "508", "508 SNOW", "SNOW"]
 
 
 def erp_tables(m: Model):
@@ -26,7 +28,7 @@ def erp_tables(m: Model):
     orders = m.table("orders")
     header = orders.select(
         k.alias("id_cut"), season.alias("season"), style.alias("style"), text("L", k).alias("lot"), F.date_add(F.to_date("o_orderdate"), 20).alias("revdd"),
-        F.to_date("o_orderdate").alias("plan_date"), pick([*erp.PRODUCT_GROUPS[:6], "OTHER"], k).alias("misc1"),
+        F.to_date("o_orderdate").alias("plan_date"), pick([*PRODUCT_GROUPS, "OTHER"], k).alias("misc1"),
         F.when(k % 11 == 0, "DIRECT BRAZIL").when(k % 13 != 0, F.col("o_orderpriority")).alias("misc6"), text(" d", k % 3).alias("misc18"), text("sys", k % 2).alias("misc21"),
         pick([*erp.ORDER_TYPES[:8], "XX"], k).alias("misc25"), text("so", k).alias("misc27"), text("sla", k % 4).alias("misc41"), store.alias("store_no"),
         text("po", k).alias("ship_no"), text("  F", c % 30).alias("rfactory"), F.concat(text("V", c % 30), F.lit("  ")).alias("rdacode"),
@@ -52,7 +54,7 @@ def erp_tables(m: Model):
 
 def l20_order_extract(spark, sf_dir):
     """The order delta of the month before the run date and later, from six ERP tables."""
-    return erp.extract_orders(*erp_tables(Model(spark, sf_dir)), F.lit(RUN_DATE).cast("date"))
+    return erp.extract_orders(*erp_tables(Model(spark, sf_dir)), F.lit(RUN_DATE).cast("date"), PRODUCT_GROUPS)
 
 
 def _list(names) -> str:
@@ -63,7 +65,7 @@ query("l20_order_extract", sql(f"""
 WITH h AS (
   SELECT *, o_orderkey AS k, o_custkey AS c, CAST(o_orderdate AS DATE) AS od, 'ST' || o_custkey % 40 AS style, 'S' || year(o_orderdate) AS season,
          CASE WHEN o_custkey % 19 = 0 THEN 'DPNS' WHEN o_custkey % 23 <> 0 THEN 'W' || o_custkey END AS store_no,
-         ({list(erp.PRODUCT_GROUPS[:6]) + ['OTHER']})[o_orderkey % 7 + 1] AS misc1, ({list(erp.ORDER_TYPES[:8]) + ['XX']})[o_orderkey % 9 + 1] AS misc25,
+         ({PRODUCT_GROUPS + ['OTHER']})[o_orderkey % 7 + 1] AS misc1, ({list(erp.ORDER_TYPES[:8]) + ['XX']})[o_orderkey % 9 + 1] AS misc25,
          CASE WHEN o_orderkey % 11 = 0 THEN 'DIRECT BRAZIL' WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS misc6,
          CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_orderkey % 5 END AS qtyship, CAST(o_orderkey % 3 = 0 AS INTEGER) AS done,
          CASE WHEN o_orderkey % 17 = 0 THEN 'CANCELED' WHEN o_orderkey % 29 <> 0 THEN 'OPEN' END AS polocation FROM orders),
@@ -84,5 +86,5 @@ LEFT JOIN s ON s.season = h.season AND s.style = h.style AND s.l_orderkey = h.k
 LEFT JOIN supplier ON s.shipment = 'N' || s_suppkey
 LEFT JOIN customer ON store_no = 'W' || c_custkey
 LEFT JOIN f ON n.size = f.scale
-WHERE od + 20 >= DATE '{RUN_DATE}' - INTERVAL 1 MONTH AND misc6 NOT IN ('DIRECT BRAZIL') AND misc1 IN {_list(erp.PRODUCT_GROUPS)} AND NOT (qtyship = 0 AND done = 1)
+WHERE od + 20 >= DATE '{RUN_DATE}' - INTERVAL 1 MONTH AND misc6 NOT IN ('DIRECT BRAZIL') AND misc1 IN {_list(PRODUCT_GROUPS)} AND NOT (qtyship = 0 AND done = 1)
   AND NOT (n.qty = 0) AND polocation <> 'CANCELED' AND misc25 IN {_list(erp.ORDER_TYPES)} AND store_no NOT IN {_list(erp.OTHER_STORES)}"""))(l20_order_extract)

@@ -20,22 +20,22 @@ PERFORMANCE = [(-5, "Early"), (0, "On time"), (4, "Late"), (9, "Very late")]
 
 # ------------------------------------------------------------------------------------------------ netting, labels
 def l40_netting(spark, sf_dir):
-    """L40 netting of need-to-buy lines (odd line numbers) against the summed orders (even ones) of the same order,
-    customer and month."""
-    d = Model(spark, sf_dir).demand.withColumn("month", F.date_format("demand_date", "yyyy-MM")).select(
-        "order_id", "line_id", "dim_customer_id", "month", F.col("quantity").alias("quantity_unconsumed"), "quantity",
-        F.lit(None).cast("bigint").alias("consumed_quantity"))
-    key = ["order_id", "dim_customer_id", "month"]
+    """L40 netting of need-to-buy lines (odd line numbers) against the summed orders (even ones) of the same product group,
+    delivery month, customer and order: the four keys of the load, coarse enough here that lines meet."""
+    d = Model(spark, sf_dir).demand.select(
+        "order_id", "line_id", "dim_customer_id", (F.col("dim_product_id") % 4).alias("product_group"), F.date_format("demand_date", "yyyy-MM").alias("month"),
+        F.col("quantity").alias("quantity_unconsumed"), "quantity", F.lit(None).cast("bigint").alias("consumed_quantity"))
+    key = ["product_group", "month", "dim_customer_id", "order_id"]
     return adjust.net_demand(d.filter("line_id % 2 = 1"), d.filter("line_id % 2 = 0"), key)
 
 
 query("l40_netting", sql("""
-SELECT n.order_id, n.line_id, n.dim_customer_id, n.month, n.quantity AS quantity_unconsumed,
+SELECT n.order_id, n.line_id, n.dim_customer_id, n.product_group, n.month, n.quantity AS quantity_unconsumed,
        CASE WHEN o.q IS NULL THEN n.quantity WHEN n.quantity < o.q THEN 0 ELSE n.quantity - o.q END AS quantity,
        abs(o.q - n.quantity) AS consumed_quantity
-FROM (SELECT *, strftime(demand_date, '%Y-%m') AS month FROM demand WHERE line_id % 2 = 1) n
-LEFT JOIN (SELECT order_id, dim_customer_id, strftime(demand_date, '%Y-%m') AS month, CAST(sum(quantity) AS BIGINT) AS q
-           FROM demand WHERE line_id % 2 = 0 GROUP BY 1, 2, 3) o USING (order_id, dim_customer_id, month)""", "demand"))(l40_netting)
+FROM (SELECT *, dim_product_id % 4 AS product_group, strftime(demand_date, '%Y-%m') AS month FROM demand WHERE line_id % 2 = 1) n
+LEFT JOIN (SELECT order_id, dim_customer_id, dim_product_id % 4 AS product_group, strftime(demand_date, '%Y-%m') AS month, CAST(sum(quantity) AS BIGINT) AS q
+           FROM demand WHERE line_id % 2 = 0 GROUP BY 1, 2, 3, 4) o USING (order_id, dim_customer_id, product_group, month)""", "demand"))(l40_netting)
 
 
 def l05_source_label(spark, sf_dir):
