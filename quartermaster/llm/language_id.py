@@ -20,6 +20,7 @@ any length are scored whole.  Other columns of the input are ignored, whatever t
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter, defaultdict
 from functools import lru_cache
 
@@ -256,15 +257,26 @@ class Scorer:
         return out[:, :-1]
 
 
+_HELD: dict[str, Scorer] = {}
+
+
+def held_scorer(name: str, log_p: np.ndarray, path: str) -> Scorer:
+    """The worker process's scorer of a model, kept from task to task (what it remembers is bounded and changes no result)."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = Scorer(log_p, path)
+    return _HELD[name]
+
+
 def judge(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(key, held_out, lang_pred, score) of every row, learnt outside the held-out fold."""
     learnt = df.filter(~fold_of(F.col(key)) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, text)
     languages, prior, log_p = fit(learnt, path, lang, text)
-    sent = df.sparkSession.sparkContext.broadcast(log_p)
+    sent, name = df.sparkSession.sparkContext.broadcast(log_p), uuid.uuid4().hex
     out = schema_of((key, T.LongType()), ("held_out", T.BooleanType()), ("lang_pred", T.StringType()), ("score", T.DoubleType()))
 
     def run(batches):
-        scorer = Scorer(sent.value, path) if languages else None
+        scorer = held_scorer(name, sent.value, path) if languages else None
         for batch in batches:
             texts = texts_of(batch, text)
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
