@@ -329,8 +329,7 @@ def p34_patterns(spark, sf_dir):
     words = p.select(F.explode(F.split("p_name", " ")).alias("pattern")).distinct().filter(F.length("pattern") > 4)
     longest = frames.longest_pattern(p.select(F.col("p_name").alias("path")).distinct(), words)
     rules = p.select(F.col("p_brand").alias("b"), F.col("p_type").alias("t"), F.col("p_size").alias("s"), F.col("p_retailprice").alias("price"))
-    best = lookups.correlated_max(p, rules, ["p_partkey"], (F.col("p_brand") == F.col("b")) & (F.col("p_type") == F.col("t")) & (F.col("s") < F.col("p_size")),
-                                  F.col("price"), "best_smaller")
+    best = lookups.correlated_max(p, rules, [("p_brand", "b"), ("p_type", "t")], ("p_size", "s"), F.col("price"), "best_smaller")
     return best.join(longest, best["p_name"] == longest["path"]).select("p_partkey", "matched_pattern", "best_smaller")
 
 
