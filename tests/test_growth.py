@@ -1,8 +1,17 @@
 """Steps whose work once grew faster than their input."""
 
+import os
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF
 from quartermaster.operators import lookups
+from quartermaster.plans import catalog  # noqa: F401
+from quartermaster.plans.model import Model
+from quartermaster.plans.registry import QUERIES
+from quartermaster.session import ensure_checkpoint_dir
 
 
 def test_correlated_max_meets_no_pairs(spark):
@@ -20,3 +29,37 @@ def test_correlated_max_meets_no_pairs(spark):
     # the group's rows join their places, one for each size, not each other
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "_at" in plan and " < " not in plan
+
+
+def _written(spark, build) -> int:
+    """Bytes that a builder leaves in the shared scratch folder."""
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+
+    def size():
+        return sum(os.path.getsize(os.path.join(at, f)) for at, _dirs, files in os.walk(folder) for f in files)
+    before = size()
+    build(spark, SF)
+    return size() - before
+
+
+@pytest.fixture()
+def plain(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    yield spark
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["x_allocate_unconstrained", "x_allocation_summary"])
+def test_lines_are_not_dealt_by_customer_or_material(plain, name):
+    """Lines are dealt by order, by product, region and party, and by product; orders meet the customers first."""
+    plan = QUERIES[name](plain, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(o_custkey" in plan and not re.search(r"hashpartitioning\(material_id#\d+, region#\d+, party#", plan)
+
+
+@pytest.mark.parametrize("name", ["x_allocate_constrained", "x_constrained_loops"])
+def test_constrained_pass_writes_little(spark, name):
+    lines = Model(spark, SF).table("lineitem").count()
+    assert _written(spark, QUERIES[name]) < 60 * lines
