@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
-from quartermaster.operators import lookups
-from quartermaster.plans import catalog  # noqa: F401
+from quartermaster.operators import lookups, reshape
+from quartermaster.plans import catalog, model  # noqa: F401
 from quartermaster.plans.model import Model
 from quartermaster.plans.registry import QUERIES
 from quartermaster.session import ensure_checkpoint_dir
@@ -63,3 +63,16 @@ def test_lines_are_not_dealt_by_customer_or_material(plain, name):
 def test_constrained_pass_writes_little(spark, name):
     lines = Model(spark, SF).table("lineitem").count()
     assert _written(spark, QUERIES[name]) < 60 * lines
+
+
+def test_tasks_grow_with_the_lines(spark, monkeypatch):
+    monkeypatch.setattr(model, "TASK_LINES", 100)
+    m = Model(spark, SF)
+    assert m.parts == m.table("lineitem").count() // 100 == m.capacity.rdd.getNumPartitions() == m.demand.rdd.getNumPartitions()
+
+
+def test_pivot_deals_groups_to_the_tasks_asked_for(spark):
+    df = spark.range(600).selectExpr("id % 50 AS k", "concat('w', id % 3) AS w", "id AS v")
+    out = reshape.pivot_generic(df, ["k"], "w", ["w0", "w1", "w2"], "v", 30)
+    assert out.rdd.getNumPartitions() == 30 and out.count() == 50
+    assert out.agg(F.sum(F.col("w0") + F.col("w1") + F.col("w2"))).first()[0] == sum(range(600))
