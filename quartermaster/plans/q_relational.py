@@ -430,7 +430,7 @@ def u_capacity_grid(spark, sf_dir):
     weeks = [f"wk{w:02d}" for w in range(1, 54)]
     grid = (cap.withColumn("wk", F.concat(F.lit("wk"), F.lpad(F.col("week_accounting").cast("string"), 2, "0")))
                .transform(lambda df: reshape.pivot_generic(df, ["dim_factory_id", "construction_type", "year_accounting"],
-                                                           "wk", weeks, "capacity_available_weekly")))
+                                                           "wk", weeks, "capacity_available_weekly", m.parts)))
     long = reshape.unpivot_nonnull(grid, ["dim_factory_id", "construction_type", "year_accounting"], weeks, "wk", "capacity")
     return long.select("dim_factory_id", "construction_type", "year_accounting",
                        F.right("wk", F.lit(2)).cast("int").alias("week_accounting"), F.col("capacity").cast("bigint").alias("capacity"))
