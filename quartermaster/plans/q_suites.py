@@ -26,8 +26,9 @@ def v10_load_suites(spark, sf_dir):
     of all regions, one over the orders, one join with the master data."""
     m = Model(spark, sf_dir)
     k, n = F.col("order_id"), F.col("line_id")
-    rows = (m.demand.join(m.customer.select("dim_customer_id", "region", "customer_name"), "dim_customer_id")
-             .join(m.product.select("dim_product_id", "material_id"), "dim_product_id"))
+    materials = m.product.select("dim_product_id", "material_id").hint("shuffle_hash")  # lines are not sorted to meet them
+    rows = (m.demand_with(m.customer.select("dim_customer_id", "region", "customer_name"))  # without a customer no region, so no suite
+             .join(materials, "dim_product_id"))
     cut = F.substring(F.when(k % 37 == 0, "VN??").when(k % 41 != 0, F.concat("material_id", F.lit("-old"))), 1, 10)
     size = F.when(k % 13 != 0, n.cast("string"))
     customer = F.when(k % 43 == 0, F.concat(F.lit("OLD"), F.col("dim_customer_id") % 7)).when(k % 47 != 0, F.col("customer_name"))
@@ -35,16 +36,16 @@ def v10_load_suites(spark, sf_dir):
     day = F.when(k % 53 == 0, F.concat(F.lit("day "), k % 5)).when(k % 59 != 0, F.date_format("demand_date", "yyyy-MM-dd"))
     common = [Check(CUSTOMER, customer, customer, "customer"), Check(MATERIAL, cut, _pair(cut, size), "product"), Check(PRIORITY, cut, cut, "priority"),
               Check(FACTORY, code, code, "factory")]
-    dated = [*common, Check(DATE, day, broken=safe_date(day).isNull())]
+    dated = [*common, Check(DATE, day, broken=lambda x: safe_date(x).isNull())]
     source = F.element_at(F.create_map(*[F.lit(x) for kv in SOURCES.items() for x in kv]), F.col("region"))
     loads = suite_values(rows, source, {SOURCES["EMEA"]: common, **{SOURCES[r]: dated for r in ("APAC", "CASA", "NORA")}})
 
-    lines = m.lines.join(m.product.select("dim_product_id", "material_id"), "dim_product_id")
+    lines = m.lines.join(materials, "dim_product_id")
     style = F.replace(F.concat(F.substring("material_id", 1, 4), F.lit(" "), F.substring("material_id", 5, 6)), F.lit(" "), F.lit(""))
-    own_size = F.trim(F.when(k % 17 != 0, F.concat(F.lit(" "), n.cast("string"))))
+    own_size = F.coalesce(F.trim(F.when(k % 17 != 0, F.concat(F.lit(" "), n.cast("string")))), F.lit(""))
     own_code = F.replace(F.concat(F.lit(" F"), F.col("dim_factory_id_original") * 5 % 160), F.lit(" "), F.lit(""))
     orders = suite_values(lines, F.lit(ORDERS), {ORDERS: [
-        Check(MATERIAL, F.concat(F.coalesce(style, F.lit("")), F.lit("/"), F.coalesce(own_size, F.lit(""))), _pair(style, F.coalesce(own_size, F.lit(""))), "product"),
+        Check(MATERIAL, F.concat(F.coalesce(style, F.lit("")), F.lit("/"), own_size), _pair(style, own_size), "product"),
         Check(FACTORY, own_code, own_code, "factory")]})
 
     material = F.substring("material_id", 1, 10).alias("material_id")

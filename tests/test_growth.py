@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from quartermaster.operators import lookups, reshape
+from quartermaster.operators.validate import Check, suite_values
 from quartermaster.plans import catalog, model  # noqa: F401
 from quartermaster.plans.model import Model
 from quartermaster.plans.registry import QUERIES
@@ -76,3 +77,22 @@ def test_pivot_deals_groups_to_the_tasks_asked_for(spark):
     out = reshape.pivot_generic(df, ["k"], "w", ["w0", "w1", "w2"], "v", 30)
     assert out.rdd.getNumPartitions() == 30 and out.count() == 50
     assert out.agg(F.sum(F.col("w0") + F.col("w1") + F.col("w2"))).first()[0] == sum(range(600))
+
+
+def test_checks_are_spelt_out_once(plain):
+    """However many suites hold a check, a row makes its texts once and sorts neither for the products nor for the references."""
+    lines = QUERIES["v10_load_suites"](plain, SF)._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = [line for line in lines if "Generate explode" in line and "_t0" in line]
+    assert len(made) == 2 and not any("VN??" in line or "day " in line for line in made)
+    assert not any("Sort [dim_product_id" in line or "Sort [reference" in line for line in lines)
+
+
+def test_suite_values_keep_nulls_sources_and_checks_apart(spark):
+    rows = spark.createDataFrame([("a", "x", "1"), ("a", None, "zz"), ("a", "x", "1"), ("b", "x", "zz"), ("b", "", None), ("other", "q", "q"), (None, "q", "q")], "s string, t string, d string")
+    t, d = F.col("t"), F.col("d")
+    known = Check("known", t, t, "names")
+    pair = Check("pair", t, F.concat(t, F.lit("|"), d), "pairs")
+    number = Check("number", d, broken=lambda x: x.try_cast("int").isNull())
+    got = {tuple(r) for r in suite_values(rows, F.col("s"), {"a": [known, pair], "b": [known, number]}).collect()}
+    assert got == {("a", "known", "names", "x", "x"), ("a", "known", "names", None, ""), ("a", "pair", "pairs", "x|1", "x"), ("a", "pair", "pairs", None, ""),
+                   ("b", "known", "names", "x", "x"), ("b", "known", "names", "", ""), ("b", "number", None, None, "zz"), ("b", "number", None, None, "")}
