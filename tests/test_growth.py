@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
-from quartermaster.operators import lookups, reshape
+from quartermaster.operators import loads, lookups, reshape
 from quartermaster.operators.validate import Check, suite_values
 from quartermaster.plans import catalog, model  # noqa: F401
 from quartermaster.plans.model import Model
@@ -96,3 +96,20 @@ def test_suite_values_keep_nulls_sources_and_checks_apart(spark):
     got = {tuple(r) for r in suite_values(rows, F.col("s"), {"a": [known, pair], "b": [known, number]}).collect()}
     assert got == {("a", "known", "names", "x", "x"), ("a", "known", "names", None, ""), ("a", "pair", "pairs", "x|1", "x"), ("a", "pair", "pairs", None, ""),
                    ("b", "known", "names", "x", "x"), ("b", "known", "names", "", ""), ("b", "number", None, None, "zz"), ("b", "number", None, None, "")}
+
+
+def test_staged_rows_meet_all_products_of_a_material_at_once(spark):
+    staged = spark.createDataFrame([(1, "M1-long-name", "8"), (2, "M1", "8"), (3, "M1", "9"), (4, "M1", None), (5, "M2", "8"), (6, "M3", "8"), (7, None, "8"), (8, "M4", "8")],
+                                   "row int, material_id string, size string")
+    products = spark.createDataFrame([("M1", "8", 11), ("M1", "8", 12), ("M1", None, 19), ("M1", "9", None), ("M4", "8", 41), (None, "8", 99)], "material_id string, size string, id int")
+    materials = spark.createDataFrame([("M1", 10, 110), ("M1", 9, 70), ("M2", 20, None), (None, 90, 1)], "material_id string, id int, production_lt int")
+    got = {(r["row"], r["material_id"], r["dim_product_id"], r["production_lt"]) for r in loads.resolve_product(staged, products, materials, 2).collect()}
+    assert got == {(1, "M1-long-name", 12, 110), (2, "M1", 12, 110), (3, "M1", 10, 110), (4, "M1", 10, 110), (5, "M2", 20, None), (8, "M4", 41, None)}
+
+
+def test_need_to_buy_rows_are_dealt_once_by_material(plain):
+    plan = QUERIES["l10_whole_facts"](plain, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(_mtl#\d+, size#", plan)
+    # rows without a Monday are gone before the others are dealt by customer
+    dealt = [line for line in plan.splitlines() if re.search(r"hashpartitioning\(customer_text#", line)]
+    assert len(dealt) == 4 and "_monday" in plan.split("hashpartitioning(customer_text#")[1]
