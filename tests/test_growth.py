@@ -113,3 +113,13 @@ def test_need_to_buy_rows_are_dealt_once_by_material(plain):
     # rows without a Monday are gone before the others are dealt by customer
     dealt = [line for line in plan.splitlines() if re.search(r"hashpartitioning\(customer_text#", line)]
     assert len(dealt) == 4 and "_monday" in plan.split("hashpartitioning(customer_text#")[1]
+
+
+def test_lookups_by_the_same_columns_are_one_join(plain):
+    df = plain.createDataFrame([("a",), ("b",), ("c",), ("d",), (None,)], "t string")
+    first = plain.createDataFrame([("a", 1), ("a", 2), ("b", None)], "k string, id int")
+    second = plain.createDataFrame([("a", 10), ("b", 20), ("c", 30), (None, 40)], "name string, other long")
+    third = plain.createDataFrame([(7, 70)], "n int, id int")
+    out = lookups.resolve(df, [(first, [("t", "k")], "id"), (second, [("t", "name")], "other"), (third.selectExpr("cast(n as string) AS n", "id"), [("t", "n")], "id")], "found", placeholder=-1)
+    assert {tuple(r) for r in out.collect()} == {("a", 2), ("b", 20), ("c", 30), ("d", -1), (None, -1)} and out.columns == ["t", "found"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
