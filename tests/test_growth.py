@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
-from quartermaster.operators import loads, lookups, reshape
+from quartermaster.operators import capacity, loads, lookups, merge, reshape
 from quartermaster.operators.validate import Check, suite_values
 from quartermaster.plans import catalog, model  # noqa: F401
 from quartermaster.plans.model import Model
@@ -123,3 +123,32 @@ def test_lookups_by_the_same_columns_are_one_join(plain):
     out = lookups.resolve(df, [(first, [("t", "k")], "id"), (second, [("t", "name")], "other"), (third.selectExpr("cast(n as string) AS n", "id"), [("t", "n")], "id")], "found", placeholder=-1)
     assert {tuple(r) for r in out.collect()} == {("a", 2), ("b", 20), ("c", 30), ("d", -1), (None, -1)} and out.columns == ["t", "found"]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+
+
+def test_capacity_load_deals_rows_once_by_factory(plain):
+    """Daily and weekly capacity are dealt by factory, then summed, adjusted and merged where they are."""
+    plan = QUERIES["l34_capacity_load"](plain, SF)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*\)?[^)]*), \d+\)", plan)
+    assert sum(bool(re.match(r"(coalesce\()?dim_factory_id#\d+L?, .*(region|dim_date_id|year)#", d)) for d in dealt) == 0
+    assert plan.count("Window") == 1 and "FullOuter" not in plan
+
+
+def test_weekly_sums_stand_on_the_first_day_only(spark):
+    cal = spark.createDataFrame([(1, "A"), (2, "A"), (3, "B"), (4, "B")], "id int, year_cw_accounting string")
+    rows = [(7, "R", "T", 1, 1.0, 0.5), (7, "R", "T", 2, 2.0, None), (7, "R", "T", 4, 4.0, 4.0), (7, "R", "T", 9, 8.0, 8.0), (7, "S", "T", 1, 16.0, None),
+            (None, "R", "T", 1, 32.0, 1.0), (8, "R", "T", None, 64.0, 1.0)]
+    daily = spark.createDataFrame(rows, "dim_factory_id long, region string, construction_type string, dim_date_id int, capacity_raw_daily double, capacity_raw_daily_overwritten double")
+    out = capacity.weekly_rollup(daily, cal)
+    assert out.columns == [*daily.columns, "capacity_raw_weekly", "capacity_raw_weekly_overwritten"]
+    assert {tuple(r)[:4]: tuple(r)[6:] for r in out.collect()} == {r[:4]: {(7, "R", 1): (3.0, 0.5), (7, "S", 1): (16.0, None)}.get((r[0], r[1], r[3]), (None, None)) for r in rows}
+
+
+def test_upsert_by_aggregate_equals_the_join(plain):
+    target = plain.createDataFrame([(1, "a", 1.0, "x"), (2, None, 2.0, "y"), (None, "c", 3.0, None), (4, "d", None, "z")], "k long, n string, v double, t string")
+    source = plain.createDataFrame([(2, None, 20.0), (None, "c", None), (4, "d", 40.0), (5, None, 50.0)], "k long, n string, v double")
+    want = merge.upsert(target, source, ["k", "n"])
+    got = merge.upsert_keyed(target, source, ["k", "n"])
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 5
+    sides = [df.repartition(6, "k") for df in (target, source)]
+    plan = merge.upsert_keyed(*sides, ["k", "n"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
