@@ -2,14 +2,15 @@
 
 import os
 import re
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
-from quartermaster.operators import capacity, loads, lookups, merge, reshape
+from quartermaster.operators import allocate, capacity, loads, lookups, merge, reshape
 from quartermaster.operators.validate import Check, suite_values
-from quartermaster.plans import catalog, model  # noqa: F401
+from quartermaster.plans import catalog, model, q_allocate  # noqa: F401
 from quartermaster.plans.model import Model
 from quartermaster.plans.registry import QUERIES
 from quartermaster.session import ensure_checkpoint_dir
@@ -152,3 +153,38 @@ def test_upsert_by_aggregate_equals_the_join(plain):
     sides = [df.repartition(6, "k") for df in (target, source)]
     plan = merge.upsert_keyed(*sides, ["k", "n"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_constrained_pass_deals_lines_to_orders_once(plain):
+    """The lines that met their orders are written and read again; those without units are not dealt by write-back key."""
+    df = QUERIES["x_allocate_constrained"](plain, SF)
+    assert not any("lineitem" in f or "orders" in f for f in df.inputFiles())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and len(re.findall(r"Exchange hashpartitioning\(program#\d+, material_id#", plan)) <= 3
+    assert not re.search(r"hashpartitioning\(coalesce\(dim_factory_id_original_unconstrained#", plan)
+
+
+def test_units_without_a_rule_hold_no_features(spark):
+    m = Model(spark, SF)
+    lines = q_allocate._open_lines(m, q_allocate._with_customers(m), m.retail_qt)
+    units, _load = allocate.demand_units(lines, m.factory, m.capacity, m.calendar)
+    held = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in allocate.UNIT_ATTRS])
+    got = units.groupBy("_ruled").agg(F.count(F.when(held, 1)).alias("held"), F.count(F.lit(1)).alias("n")).collect()
+    assert {r["_ruled"]: r["held"] for r in got} == {True: next(r["n"] for r in got if r["_ruled"]), False: 0}
+    assert units.select(F.sum("quantity")).first() == lines.filter(allocate.is_open()).select(F.sum("quantity")).first()
+
+
+def test_lines_meet_quick_turn_vendors_with_their_product(plain):
+    m = Model(plain, SF)
+    product = plain.createDataFrame([(1, "M1", "Flex", "T", 0, 0, 0), (2, "M1", "Flex", "T", 0, 0, 0), (3, "M3", "Flex", "T", 0, 0, 0)],
+                                    "dim_product_id long, material_id string, style_complexity string, construction_type string, clk_mtl int, dtp_mtl int, sjd_mtl int")
+    vendors = plain.createDataFrame([("M1", "EMEA", "EU DC", "CLK"), ("M1", "EMEA", "EU DC", "DTC"), ("M1", "NORA", "US DC", "SJV"), ("M1", "EMEA", None, "SJD"), ("M1", None, "US DC", "SJD")],
+                                    "material_id string, region string, sold_to_party string, factory_short_name string")
+    rows = [(1, 1, "EMEA", "EU DC"), (2, 2, "NORA", "US DC"), (3, 1, "NORA", "EU DC"), (4, 1, "EMEA", None), (5, 1, None, "US DC"), (6, 3, "EMEA", "EU DC"), (7, 9, "EMEA", "EU DC"), (8, None, "EMEA", "EU DC")]
+    lines = plain.createDataFrame(rows, "line_id long, dim_product_id long, region string, party string").withColumns(
+        {"buying_program": F.lit("Retail Quick Turn"), "demand_date": F.current_date(), "release_date": F.current_date()})
+    out = allocate.allocation_features(lines, product, None, m.factory, m.priority, m.fty_qt, vendors)
+    ids = {r["short_name"]: r["dim_factory_id"] for r in m.factory.select("short_name", "dim_factory_id").collect()}
+    got = {r["line_id"]: (r["rqt_vendor"], r["rqt_vendor_id"]) for r in out.select("line_id", "rqt_vendor", "rqt_vendor_id").collect()}
+    assert got == {n: (v, ids.get(v)) for n, v in zip(range(1, 9), ["DTC", "SJV", *[None] * 6])}
+    assert not re.search(r"hashpartitioning\(dim_product_id#\d+L?, region#", out._jdf.queryExecution().executedPlan().toString())
